@@ -501,7 +501,7 @@ def lda_topic_lists(ratings, meals):
 
 @query()
 def lda_recommendations(ratings, meals):
-    ids = topics.meal_lists(*_features(ratings, meals), K, LDA_ITERATIONS, seed=SEED)
+    ids = stage(topics.meal_lists(*_features(ratings, meals), K, LDA_ITERATIONS, seed=SEED), "meal-ids")
     return lists.name_lists(lists.explode_ids(ids), meals).select("UserID", text("meal_name_list"))
 
 

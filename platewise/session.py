@@ -86,6 +86,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """At least one partition per slot, for work that is large against the bytes it reads."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application staged."""
     root = f"{staging_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
