@@ -17,14 +17,15 @@ def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
 
     The keys are range-partitioned and sorted, and staged with their partition and position, so
     that both are fixed. The id is the position plus the number of keys in the partitions before;
-    only that one row per partition is summed up and broadcast.
+    only that one row per partition is summed up and broadcast. The result is staged too: Spark
+    would guess the size of a join far too high, and shuffle the ratings to meet a small index.
     """
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
     placed = stage(
         keys.repartitionByRange(key)
         .sortWithinPartitions(key)
         .withColumn("place", F.monotonically_increasing_id()),
-        f"index-{key}",
+        f"{key}-places",
     )
     placed = placed.select(
         key,
@@ -37,17 +38,20 @@ def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
         .agg(F.count("*").alias("keys"))
         .select("part", F.coalesce(F.sum("keys").over(before), F.lit(0)).alias("offset"))
     )
-    return placed.join(F.broadcast(offsets), "part").select(
+    numbered = placed.join(F.broadcast(offsets), "part").select(
         key, (F.col("offset") + F.col("position")).alias(index)
     )
+    return stage(numbered, f"{key}-index")
 
 
 def encode(latest: DataFrame, user_index: DataFrame, meal_index: DataFrame, meals: DataFrame) -> DataFrame:
     """Attach both ids and the meal's attributes; ratings of unlisted meals drop out.
 
-    The two meal-sized tables are joined first, so the ratings meet two joins, not three.
+    The two meal-sized tables are joined first, so the ratings meet two joins, not three. The
+    result is staged: its size then decides about a broadcast, and where there is none, a side
+    that comes straight from a shuffle is what adaptive execution needs to split a hot meal.
     """
-    described = meal_index.join(meals, "MealID")
+    described = stage(meal_index.join(meals, "MealID"), "described-meals")
     names = [name for name in meals.columns if name.lower() != "mealid"]
     return (
         latest.join(user_index, "UserID")

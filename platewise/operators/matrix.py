@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from platewise.functions.columns import sparse_vector
 from platewise.operators.keys import dense_index
+from platewise.session import stage
 
 # Beyond this a wide row outgrows generated code; the sparse form has no such limit.
 WIDE_COLUMNS = 1_000
@@ -31,12 +32,13 @@ def rating_cells(cleaned: DataFrame, min_avg_rating: float | None = None) -> Dat
     """(UserID, MealID, Rating) of the meals in the derived meal list.
 
     Without a bound the list holds every rated meal, so the join could only drop missing ids and
-    a filter does the same without a shuffle.
+    a filter does the same without a shuffle. With one, the list is staged before the join: an
+    aggregate as a join side would keep adaptive execution from splitting a hot meal.
     """
     cells = cleaned.select("UserID", "MealID", "Rating")
     if min_avg_rating is None:
         return cells.filter(F.col("MealID").isNotNull())
-    listed = meal_ids(average_ratings(cleaned, min_avg_rating))
+    listed = stage(meal_ids(average_ratings(cleaned, min_avg_rating)), "listed-meals")
     return cells.join(listed, "MealID", "left_semi").select("UserID", "MealID", "Rating")
 
 

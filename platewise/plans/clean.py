@@ -28,8 +28,8 @@ def run(spark: SparkSession, split_folder: str | None = None, database: str = sc
     ratings = catalog.read_table(spark, schemas.MEAL_RATING)
     meals = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
     cleaned = catalog.save_table(clean(ratings, meals), schemas.CLEANED)
-    parts = splits.split(cleaned)
     if split_folder:
-        for name, part in parts.items():
+        for name, part in splits.split(cleaned).items():
             write_json(part, f"{split_folder}/{name}data.json")
-    return reports.row_counts({"ratings": ratings, "cleaned": cleaned, **parts})
+    counts = reports.row_counts({"ratings": ratings, "cleaned": cleaned})
+    return counts.unionByName(splits.part_counts(cleaned))

@@ -313,7 +313,7 @@ def audit_counts(ratings, meals):
         "cleaned": cleaned,
         "meals": matrix.meal_ids(matrix.average_ratings(cleaned)),
     }
-    return reports.row_counts({**stages, **splits.split(cleaned)})
+    return reports.row_counts(stages).unionByName(splits.part_counts(cleaned))
 
 
 # ---------------------------------------------------------------- matrix
