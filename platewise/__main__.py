@@ -1,4 +1,5 @@
-"""Command line: ``spark-submit``-able jobs, in the order load, explore, clean, topics/tune/factors."""
+"""Command line: ``spark-submit``-able jobs, in the order load, explore, clean, then
+matrix, topics, names, tune and factors as wanted."""
 
 from __future__ import annotations
 
@@ -27,6 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     meals.add_argument("--meals-url")
     job.add_argument("--meals-table", default="meal_list")
     job.add_argument("--meals-driver", default=jdbc.JdbcTable.driver)
+    job.add_argument("--meals-rows", type=int, help="largest mealno; splits the read over --meals-partitions")
+    job.add_argument("--meals-partitions", type=int, default=8)
 
     job = jobs.add_parser("explore", help="report files")
     job.add_argument("--out", required=True)
@@ -35,6 +38,10 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("clean", help="cleaned table and split files")
     job.add_argument("--splits")
 
+    job = jobs.add_parser("matrix", help="user x meal matrix as a table")
+    job.add_argument("--wide", action="store_true", help="one column per meal, for short meal lists")
+    job.add_argument("--min-avg-rating", type=float)
+
     job = jobs.add_parser("topics", help="lists from LDA")
     job.add_argument("--k", type=int, default=10)
     job.add_argument("--max-iter", type=int, default=lda.ITERATIONS)
@@ -42,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--min-avg-rating", type=float)
     job.add_argument("--seed", type=int, default=1)
 
+    jobs.add_parser("names", help="saved id lists into name lists")
+
     job = jobs.add_parser("tune", help="LDA quality per number of iterations")
     job.add_argument("--k", type=int, default=10)
     job.add_argument("--seed", type=int, default=1)
@@ -56,7 +65,9 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.meals_json:
             meals = files.read_meals(spark, args.meals_json)
         else:
-            meals = jdbc.read_jdbc(spark, jdbc.JdbcTable(args.meals_url, args.meals_table, args.meals_driver))
+            source = jdbc.JdbcTable(args.meals_url, args.meals_table, args.meals_driver)
+            split = ("mealno", 1, args.meals_rows, args.meals_partitions) if args.meals_rows else ()
+            meals = jdbc.read_jdbc(spark, source, *split)
         load.load(spark, files.read_ratings(spark, args.ratings), meals, args.database)
     elif args.job == "explore":
         catalog.use_database(spark, args.database)
@@ -65,6 +76,11 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         explore.write_reports(ratings, meals, args.out, args.form)
     elif args.job == "clean":
         clean.run(spark, args.splits, args.database).show()
+    elif args.job == "matrix":
+        topics.save_matrix(spark, args.wide, args.min_avg_rating, args.database)
+    elif args.job == "names":
+        catalog.use_database(spark, args.database)
+        topics.name_meals(spark, catalog.read_table(spark, schemas.USER_MEAL_IDS)).show()
     elif args.job == "topics":
         topics.run(
             spark, args.k, args.max_iter, args.mode, args.min_avg_rating, args.seed, args.database

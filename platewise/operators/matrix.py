@@ -12,8 +12,8 @@ from platewise.functions.columns import sparse_vector
 from platewise.operators.keys import dense_index
 from platewise.session import stage
 
-# Beyond this a wide row outgrows generated code; the sparse form has no such limit.
-WIDE_COLUMNS = 1_000
+# As many as Spark's own pivot allows; the sparse form has no such limit.
+WIDE_COLUMNS = 10_000
 
 
 def average_ratings(cleaned: DataFrame, min_avg_rating: float | None = None) -> DataFrame:
@@ -54,6 +54,15 @@ def wide_matrix(cells: DataFrame, columns: Sequence, by: str = "MealID") -> Data
     return pivoted.fillna(0)
 
 
+def full_wide_matrix(cells: DataFrame) -> DataFrame:
+    """The wide form over every rated meal, columns in MealID order, for meal lists that fit it.
+
+    Only the column names visit the driver, at most one more than the wide form can hold.
+    """
+    rated = cells.select("MealID").distinct().limit(WIDE_COLUMNS + 1)
+    return wide_matrix(cells, sorted(row["MealID"] for row in rated.collect()))
+
+
 def feature_columns(wide: DataFrame) -> list[str]:
     return [name for name in wide.columns if name != "UserID"]
 

@@ -4,24 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from platewise.operators import reports
+from platewise.operators import repeats, reports
 from platewise.sources.files import write_csv, write_json
 
 
-def report_frames(ratings: DataFrame, meals: DataFrame) -> dict[str, DataFrame]:
-    """The report files by name."""
-    return {
-        "RatingType": reports.rating_share(ratings),
-        "result2": reports.top_meal_per_rating(ratings, meals),
-        "result3": reports.bottom_meal_per_rating(ratings, meals),
-        "top10": reports.top_sales(ratings, meals),
-        "RatingTop10": reports.top_rated(ratings, meals),
-    }
-
-
 def write_reports(
     ratings: DataFrame, meals: DataFrame, folder: str, form: str = "csv", mode: str = "overwrite"
 ) -> None:
+    """The five reports as one file each, and the repeated ratings in as many files as they fill."""
     write = {"csv": write_csv, "json": write_json}[form]
-    for name, frame in report_frames(ratings, meals).items():
+    for name, frame in reports.all_reports(ratings, meals).items():
         write(frame, f"{folder}/{name}.{form}", mode=mode, single_file=True)
+    write(repeats.repeat_ratings(ratings), f"{folder}/repeats.{form}", mode=mode)

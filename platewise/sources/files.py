@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from platewise.schemas import CORRUPT, MEAL_LIST, RATING
+from platewise.session import stage
 
 SINGLE_FILE_ROWS = 100_000
 
@@ -33,13 +34,16 @@ def read_meals(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _placed(df: DataFrame, single_file: bool) -> DataFrame:
-    """One output file for a report that is small; an error, not a cut, for one that is not."""
+    """One output file for a report that is small; an error, not a cut, for one that is not.
+
+    The report is computed once, into the staging folder, and counted and copied from there.
+    """
     if not single_file:
         return df
-    if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+    staged = stage(df, "report")
+    if staged.count() > SINGLE_FILE_ROWS:
         raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for a single file; write it partitioned")
-    # repartition, not coalesce: the work below keeps its parallelism.
-    return df.repartition(1)
+    return staged.coalesce(1)
 
 
 def write_csv(

@@ -38,3 +38,17 @@ def test_entry(spark):
 
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() == 10
+
+
+def test_full_wide_matrix_equals_pivot(spark, connection):
+    from platewise.operators import matrix
+    from platewise.plans import clean
+    from platewise.sources import order_tables
+
+    cleaned = clean.clean(order_tables.ratings(spark, FOLDER), order_tables.meals(spark, FOLDER))
+    wide = matrix.full_wide_matrix(matrix.rating_cells(cleaned))
+    connection.execute("CREATE TABLE cleaned AS " + registry.SQL["encoded_ratings"])
+    connection.execute("CREATE TABLE pivoted AS PIVOT cleaned ON MealID USING first(Rating) GROUP BY UserID")
+    sql = "SELECT UserID, coalesce(COLUMNS(* EXCLUDE UserID), 0) FROM pivoted"
+    assert len(wide.columns) == 201
+    assert parity.compare(wide, connection, sql) is None

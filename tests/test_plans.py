@@ -52,9 +52,16 @@ def test_all_jobs(spark, inputs, capsys):
         parts = [spark.read.json(str(inputs / "splits" / f"{n}data.json")).count() for n in ("train", "test", "verify")]
         assert sum(parts) == cleaned.count() and parts[0] > parts[1] > 0 < parts[2]
 
+        raw = spark.read.table(schemas.MEAL_RATING).select("UserID", "MealID")
         users = cleaned.select("UserID").distinct().count()
-        run("topics", "--k", "4", "--max-iter", "5")
+        assert spark.read.csv(str(inputs / "reports" / "repeats.csv")).count() == 3000 - raw.distinct().count()
+
+        run("matrix")
         assert spark.read.table(schemas.MATRIX).count() == cleaned.count()
+        run("matrix", "--wide")
+        wide = spark.read.table(schemas.MATRIX)
+        assert wide.columns == ["UserID"] + sorted(f"m{i}" for i in range(40)) and wide.count() == users
+        run("topics", "--k", "4", "--max-iter", "5")
         assert spark.read.table(schemas.USER_MEAL_IDS).count() == users
         listed = spark.read.table(schemas.LDA_LIST)
         assert listed.columns == ["UserID", "meal_name_list"] and listed.count() == users
@@ -62,6 +69,9 @@ def test_all_jobs(spark, inputs, capsys):
         run("topics", "--k", "4", "--max-iter", "5", "--mode", "positional", "--min-avg-rating", "2.5")
         assert spark.read.table(schemas.USER_MEAL_IDS).count() == 4
 
+        run("names")
+        assert spark.read.table(schemas.LDA_LIST).count() == 4
+
         run("factors")
         recommended = spark.read.table(schemas.ALS_LIST)
         assert recommended.columns == ["UserID", "meal_name_list"] and recommended.count() == users

@@ -69,6 +69,22 @@ def test_top_rated_takes_one_rating(rate, meal_list):
     assert got == [("a", 2, 5.0), ("b", 2, 5.0), ("c", 1, 5.0)]
 
 
+def test_all_reports_equal_the_single_ones(rate, meal_list):
+    ratings, names = rate(ROWS), meal_list([("a", "A"), ("b", "B"), ("c", "C")])
+    expected = {
+        "RatingType": reports.rating_share(ratings),
+        "result2": reports.top_meal_per_rating(ratings, names),
+        "result3": reports.bottom_meal_per_rating(ratings, names),
+        "top10": reports.top_sales(ratings, names),
+        "RatingTop10": reports.top_rated(ratings, names),
+    }
+    found = reports.all_reports(ratings, names)
+    assert list(found) == list(expected)
+    for name, frame in found.items():
+        assert frame.dtypes == expected[name].dtypes
+        assert sorted(frame.collect(), key=repr) == sorted(expected[name].collect(), key=repr)
+
+
 def test_row_counts(rate):
     frame = rate(ROWS)
     got = {row["stage"]: row["rows"] for row in reports.row_counts({"all": frame, "none": frame.limit(0)}).collect()}
