@@ -59,7 +59,7 @@ def full_wide_matrix(cells: DataFrame) -> DataFrame:
 
     Only the column names visit the driver, at most one more than the wide form can hold.
     """
-    rated = cells.select("MealID").distinct().limit(WIDE_COLUMNS + 1)
+    rated = cells.select("MealID").filter(F.col("MealID").isNotNull()).distinct().limit(WIDE_COLUMNS + 1)
     return wide_matrix(cells, sorted(row["MealID"] for row in rated.collect()))
 
 

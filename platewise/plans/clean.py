@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platewise import schemas
 from platewise.operators import keys, repeats, reports, splits
-from platewise.session import stage
 from platewise.sources import catalog
 from platewise.sources.files import write_json
 
@@ -14,12 +13,12 @@ from platewise.sources.files import write_json
 def clean(ratings: DataFrame, meals: DataFrame) -> DataFrame:
     """Latest rating per user and meal, with integer ids and the meal's attributes.
 
-    The latest ratings are staged: both id tables and the encoding read them.
+    Every user and meal keeps at least one rating, so the ids are taken from one column each of the
+    raw ratings. The latest ratings then have a single reader and are never written on their own.
     """
-    latest = stage(repeats.latest_ratings(ratings), "latest-ratings")
-    users = keys.dense_index(latest, "UserID", "UserIndex")
-    meal_index = keys.dense_index(latest, "MealID", "MealIndex")
-    return keys.encode(latest, users, meal_index, meals)
+    users = keys.dense_index(ratings, "UserID", "UserIndex")
+    meal_index = keys.dense_index(ratings, "MealID", "MealIndex")
+    return keys.encode(repeats.latest_ratings(ratings), users, meal_index, meals)
 
 
 def run(spark: SparkSession, split_folder: str | None = None, database: str = schemas.DATABASE) -> DataFrame:

@@ -61,7 +61,6 @@ def staging_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = context.getCheckpointDir() or tempfile.mkdtemp(prefix="platewise-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

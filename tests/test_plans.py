@@ -2,12 +2,17 @@
 
 import json
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
 from platewise import __main__ as cli
 from platewise import schemas
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 @pytest.fixture(scope="module")
 def inputs(tmp_path_factory):
@@ -85,6 +90,14 @@ def test_all_jobs(spark, inputs, capsys):
         spark.catalog.setCurrentDatabase(before)
 
 
+def test_command_line_in_a_process_of_its_own(inputs, tmp_path):
+    command = [sys.executable, str(ROOT / "run_platewise.py"), "--master", "local[2]", "--shuffle-partitions", "2"]
+    command += ["load", "--ratings", str(inputs / "ratings.json"), "--meals-json", str(inputs / "meals.json")]
+    done = subprocess.run(command, cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert list((tmp_path / "spark-warehouse").rglob("*.parquet"))
+
+
 def test_meal_list_needs_one_source():
     with pytest.raises(SystemExit):
         cli._parser().parse_args(["load", "--ratings", "x"])

@@ -104,6 +104,25 @@ def test_staging_uses_the_shared_folder(spark, tmp_path):
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
+def test_staged_data_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "staging_root", lambda _: str(tmp_path))
+    session.stage(spark.range(5), "five")
+    assert list(tmp_path.rglob("*.parquet"))
+    session.drop_staged(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_a_local_session_without_a_shared_folder_keeps_its_own(spark):
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext, conf = spark.sparkContext, Conf()
+
+    assert session.staging_root(Session()) == session.staging_root(Session()) == spark.sparkContext.getCheckpointDir()
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Context:
         master = "yarn"
