@@ -1,7 +1,8 @@
 """Time the headline steps at one scale and print one JSON line.
 
 BENCH_SF_DIR names the folder of test tables, BENCH_CPUS the number of local cores. Every query
-is built and written to the no-op sink, so all rows and columns are computed.
+is built and written to the no-op sink, so all rows and columns are computed. As in the jobs, the
+ratings are loaded into a table first ("load"), and the later steps read that table.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     session.configure(spark)
-    ratings, meals = order_tables.ratings(spark, FOLDER), order_tables.meals(spark, FOLDER)
     times: dict[str, float] = {}
+    stored: dict[str, DataFrame] = {}
 
     def timed(name, step):
         start = time.perf_counter()
@@ -52,7 +53,13 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
         return result
 
-    run(ratings)  # start-up of the JVM and the file cache is not a query
+    def keep(name, df):
+        stored[name] = session.stage(df, name)
+
+    source = order_tables.ratings(spark, FOLDER)
+    run(source)  # start-up of the JVM and the file cache is not a query
+    timed("load", lambda: keep("ratings", session.spread(source, "UserID")))
+    ratings, meals = stored["ratings"], order_tables.meals(spark, FOLDER)
     timed("ratings_per_user", lambda: reports.count_by(ratings, "UserID"))
     timed("rating_share", lambda: reports.rating_share(ratings))
     timed("top_meal_per_rating", lambda: reports.top_meal_per_rating(ratings, meals))
@@ -64,11 +71,6 @@ def main() -> None:
     timed("latest_rating", lambda: repeats.latest_ratings(ratings))
     timed("user_index", lambda: keys.dense_index(ratings, "UserID", "UserIndex"))
 
-    stored = {}
-
-    def keep(name, df):
-        stored[name] = session.stage(df, name)
-
     timed("clean_and_encode", lambda: keep("cleaned", clean.clean(ratings, meals)))
     cleaned = stored["cleaned"]
     timed("split_assignment", lambda: splits.assign_parts(cleaned))

@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("explore", help="report files")
     job.add_argument("--out", required=True)
     job.add_argument("--form", choices=["csv", "json"], default="csv")
+    job.add_argument("--mode", choices=["overwrite", "errorifexists", "ignore"], default="overwrite")
 
     job = jobs.add_parser("clean", help="cleaned table and split files")
     job.add_argument("--splits")
@@ -73,7 +74,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         catalog.use_database(spark, args.database)
         ratings = catalog.read_table(spark, schemas.MEAL_RATING)
         meals = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
-        explore.write_reports(ratings, meals, args.out, args.form)
+        explore.write_reports(ratings, meals, args.out, args.form, args.mode)
     elif args.job == "clean":
         clean.run(spark, args.splits, args.database).show()
     elif args.job == "matrix":
