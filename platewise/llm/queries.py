@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import licenses, quality
+from platewise.llm import chunk_table, licenses, mixing, quality
 from platewise.llm.common import table
 from platewise.session import configure
 
@@ -30,6 +30,89 @@ def query(sql: str | None = None):
     return register
 
 
+# ---------------------------------------------------------------- 7: SentencePiece
+
+# The vocabulary is a parameter of the operator; the registered query uses the public one.
+PIECES = "piece_bpe_32k.model"
+
+
+def piece_model() -> bytes:
+    import public_tokenizers
+
+    return chunk_table.model_bytes(public_tokenizers.path(PIECES))
+
+
+@query()
+def op7_sentencepiece(spark, folder):
+    model = piece_model()
+    encoded = chunk_table.encode(table(spark, folder, "documents", "doc_id", "text"), model)
+    return chunk_table.decode(encoded, model).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+# ---------------------------------------------------------------- 8: mixing
+
+
+def _time_sql() -> str:
+    """mixing.time_of for a demand u of schedule ``class``."""
+    cases = []
+    for number, knots in enumerate(mixing.SCHEDULES):
+        sums, parts = mixing.integral(knots), len(knots) - 1
+        y = f"(u * {sums[-1]!r}::DOUBLE)"
+        steps = []
+        for j in range(parts):
+            rest = f"({y} - {sums[j]!r}::DOUBLE)"
+            root = f"sqrt({knots[j] ** 2!r}::DOUBLE + {2.0 * (knots[j + 1] - knots[j]) * parts!r}::DOUBLE * {rest})"
+            step = f"{j / parts!r}::DOUBLE + 2.0::DOUBLE * {rest} / ({knots[j]!r}::DOUBLE + {root})"
+            steps.append(f"WHEN {y} >= {sums[j]!r}::DOUBLE THEN {step}" if j else f"ELSE {step}")
+        cases.append(f"WHEN class = {number} THEN CASE {' '.join([*reversed(steps[1:]), steps[0]])} END")
+    return f"least(CASE {' '.join(cases)} END, 1.0::DOUBLE)"
+
+
+def _mixing_sql() -> str:
+    weights = [mixing.integral(knots)[-1] for knots in mixing.SCHEDULES]
+    weight = " ".join(f"WHEN {number} THEN {value!r}::DOUBLE" for number, value in enumerate(weights))
+    return f"""WITH z AS (
+  SELECT doc_id, source, len([x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> '']) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS draw FROM documents
+), s AS (
+  SELECT source, sum(size)::DOUBLE AS words, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} AS class
+  FROM z GROUP BY source
+), w AS (SELECT *, CASE class {weight} END AS weight, words * 2.0 AS most FROM s
+), o AS (
+  SELECT *, 1.5 * sum(words) OVER () AS wanted, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS k FROM w
+), l AS (
+  SELECT *, (wanted - coalesce(sum(most) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+         / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM o
+), c AS (SELECT *, level * weight > most AS over FROM l
+), f AS (
+  SELECT coalesce(sum(most) FILTER (over), 0.0) AS capped, sum(weight) FILTER (NOT over) AS free FROM c
+), t AS (
+  SELECT source, words, class, CASE WHEN over THEN most ELSE ((wanted - capped) / free) * weight END AS target FROM c, f
+), p AS (
+  SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(words AS BIGINT) AS source_size, target, class, words,
+         coalesce(sum(size) OVER (PARTITION BY z.source ORDER BY draw, doc_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS start
+  FROM z JOIN t ON z.source IS NOT DISTINCT FROM t.source
+), q AS (SELECT *, CASE WHEN words > 0 THEN floor(target / words) ELSE 0 END AS whole FROM p
+), r AS (SELECT *, greatest(0, least(size, floor(target - whole * words + 0.5) - start)) AS part FROM q
+), v AS (SELECT *, CAST(whole * size + part AS BIGINT) AS taken,
+         (CASE WHEN whole > 0 THEN start ELSE whole * words + start END) / target AS u FROM r
+)
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN {_time_sql()} END AS position FROM v"""
+
+
+@query(_mixing_sql())
+def op8_mixing(spark, folder):
+    mixed = mixing.mix(table(spark, folder, "documents", "doc_id", "text", "source"))
+    placed = mixed.withColumn("position", F.get("passes", F.lit(0))["position"]).drop("passes")
+    return placed.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+
+
 # ---------------------------------------------------------------- 9: quality rules
 
 
