@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import chunk_table, licenses, mixing, quality
+from platewise.llm import chunk_table, licenses, mixing, quality, warc
 from platewise.llm.common import table
-from platewise.session import configure
+from platewise.session import configure, staged_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +30,26 @@ def query(sql: str | None = None):
     return register
 
 
+# ---------------------------------------------------------------- 5: WARC
+
+
+@query(
+    """SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+  FROM (
+    SELECT *, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS f, (
+      SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_reduce(
+        [CAST(x AS INTEGER) FOR x IN string_split(substr(b, 1 + 5 * i, 5), '')], lambda a, x: 2 * a + x) AS BIGINT) + 1, 1), ''
+        ORDER BY i) FROM unnest(range(32)) AS u(i)) AS d
+    FROM (SELECT *, array_to_string([right(bin(CAST(('0x' || x) AS INTEGER) + 16), 4) FOR x IN string_split(
+                 sha1(coalesce(html, '')), '')], '') AS b FROM pages))"""
+)
+def op5_warc(spark, folder):
+    path = staged_path(spark, "archives")
+    warc.write(table(spark, folder, "pages", "page_id", "url", "html"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 # ---------------------------------------------------------------- 7: SentencePiece
 
 # The vocabulary is a parameter of the operator; the registered query uses the public one.
