@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import chunk_table, licenses, mixing, quality, warc
+from platewise.llm import chunk_table, licenses, mixing, quality, toxicity, warc
 from platewise.llm.common import table
 from platewise.session import configure, staged_path
 
@@ -30,6 +30,24 @@ def query(sql: str | None = None):
     return register
 
 
+# ---------------------------------------------------------------- 2: toxicity
+
+# The chain over the labels at hand: junk first, as what it says helps to tell insults.
+CATEGORIES = ["junk", "toxic"]
+
+
+def toxicity_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    marked = labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    return toxicity.fit(docs, marked, CATEGORIES)
+
+
+@query()
+def op2_toxicity(spark, folder):
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    chain = toxicity_chain(docs, table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+    return chain.score(docs).withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+
+
 # ---------------------------------------------------------------- 5: WARC
 
 
