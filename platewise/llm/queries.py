@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import chunk_table, licenses, mixing, quality, toxicity, warc
+from platewise.llm import bagminhash, chunk_table, licenses, mixing, quality, toxicity, warc
 from platewise.llm.common import table
 from platewise.session import configure, staged_path
 
@@ -48,6 +48,14 @@ def op2_toxicity(spark, folder):
     return chain.score(docs).withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
 
 
+# ---------------------------------------------------------------- 3: near duplicates
+
+
+@query()
+def op3_near_duplicates(spark, folder):
+    return bagminhash.classes(table(spark, folder, "documents", "doc_id", "text"))
+
+
 # ---------------------------------------------------------------- 5: WARC
 
 
