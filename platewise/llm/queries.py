@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bagminhash, chunk_table, licenses, mixing, quality, toxicity, warc
+from platewise.llm import bagminhash, chunk_table, cross_polytope, licenses, mixing, quality, toxicity, warc
 from platewise.llm.common import table
 from platewise.session import configure, staged_path
 
@@ -76,6 +76,15 @@ def op5_warc(spark, folder):
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# ---------------------------------------------------------------- 6: nearest neighbours
+
+
+@query()
+def op6_cross_polytope(spark, folder):
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding")
+    return cross_polytope.search(rows, F.col("key") % 20 == 0)
+
+
 # ---------------------------------------------------------------- 7: SentencePiece
 
 # The vocabulary is a parameter of the operator; the registered query uses the public one.
