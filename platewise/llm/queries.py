@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bagminhash, chunk_table, cross_polytope, licenses, mixing, quality, toxicity, warc
+from platewise.llm import bagminhash, chunk_table, cross_polytope, licenses, mixing, quality, rlz, toxicity, warc
 from platewise.llm.common import table
 from platewise.session import configure, staged_path
 
@@ -30,6 +30,29 @@ def query(sql: str | None = None):
     return register
 
 
+# ---------------------------------------------------------------- 1: substrings by Lempel-Ziv parsing
+
+
+@query(
+    """WITH d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), s AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM d, unnest(range(1, len(w) - 18)) AS u(i) WHERE len(w) >= 20
+), r AS (SELECT doc_id, i FROM s QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1
+), g AS (SELECT DISTINCT doc_id, i + k AS i FROM r, unnest(range(20)) AS v(k)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), k AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM (
+    SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) AS a ANTI JOIN g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)"""
+)
+def op1_relative_lempel_ziv(spark, folder):
+    cut = rlz.dedup(table(spark, folder, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------- 2: toxicity
 
 # The chain over the labels at hand: junk first, as what it says helps to tell insults.
