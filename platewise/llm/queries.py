@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bagminhash, chunk_table, cross_polytope, licenses, mixing, quality, rlz, toxicity, warc
+from platewise.llm import bagminhash, chunk_table, cross_polytope, licenses, mixing, quality, rlz, suffix_dedup, toxicity, warc
 from platewise.llm.common import table
 from platewise.session import configure, staged_path
 
@@ -79,6 +79,16 @@ def op3_near_duplicates(spark, folder):
     return bagminhash.classes(table(spark, folder, "documents", "doc_id", "text"))
 
 
+# ---------------------------------------------------------------- 4: repeated byte strings
+
+
+@query()
+def op4_prefix_doubling(spark, folder):
+    cut = suffix_dedup.dedup(table(spark, folder, "documents", "doc_id", "text"))
+    spans = F.size("spans").cast("bigint").alias("n_spans")
+    return cut.select("doc_id", "n_bytes", "n_removed", spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # ---------------------------------------------------------------- 5: WARC
 
 
