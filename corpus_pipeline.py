@@ -1,15 +1,94 @@
-"""The corpus pipeline: documents through five operators, each stage written and read again."""
+"""The corpus pipeline: documents through five operators, each stage written and read again.
+
+Every stage works on all that its predecessor kept. All but the last return the columns of documents;
+``n_chars`` follows the text. Null and empty texts pass every stage: they are not toxic, have no
+duplicates and lose no bytes; the mix takes no words of them, so it leaves them out. Repeated rows of
+one document are copies, of which one stays. An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from platewise.llm.common import table
+from platewise.llm import bagminhash, chunk_table, mixing, suffix_dedup, toxicity
+from platewise.llm.common import table, words
+from platewise.llm.queries import piece_model, toxicity_chain
 from platewise.session import configure, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of being toxic is under the threshold."""
+    configure(spark)
+    chain = toxicity_chain(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    scored = chain.score(docs.select("text", F.struct(*COLUMNS).alias("row")), "row")
+    return scored.where(F.col("p_toxic") < toxicity.THRESHOLD).select("row.*")
+
+
+def _row_key():
+    """An id for a row: the document's, null after all others, and a fingerprint of the text."""
+    return F.struct(
+        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print")
+    )
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class stays, that with the smallest id; of equal rows one."""
+    configure(spark)
+    rows = docs.select(*COLUMNS, _row_key().alias("row"))
+    found = bagminhash.classes(rows, "row").where("class_size > 1 AND row <> class_id")
+    gone = found.select("row.id", "row.print").distinct()
+    rows = rows.select(*COLUMNS, "row.id", "row.print").join(gone, ["id", "print"], "left_anti")
+    first = F.row_number().over(Window.partitionBy("id", "print").orderBy("lang", "source"))
+    return rows.withColumn("place", first).where("place = 1").select(*COLUMNS)
+
+
+def drop_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without their repeated byte strings. Of a character that a span cuts nothing stays."""
+    configure(spark)
+    cut = suffix_dedup.dedup(docs.withColumn("whole", F.col("text")), carry=["whole", "lang", "source", "n_chars"])
+    some = F.col("n_removed") > 0
+    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    text = F.when(some, left).otherwise(F.col("whole"))
+    cut = cut.select("doc_id", text.alias("text"), "lang", "source", "n_chars", some.alias("some"))
+    size = F.when(F.col("some"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", size).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for every use of a document, sorted by training position; a partial use keeps its first words."""
+    configure(spark)
+    rows = docs.select(*COLUMNS, _row_key().alias("row"))
+    mixed = mixing.mix(rows, key="row").where("taken > 0").select("row.id", "row.print", "size", "passes")
+    mixed = mixed.dropDuplicates(["id", "print"])
+    used = rows.select(*COLUMNS, "row.id", "row.print").join(mixed, ["id", "print"])
+    used = used.select("*", F.explode("passes").alias("use"))
+    part = F.col("use.words") < F.col("size")
+    text = F.when(part, F.array_join(F.slice(words(F.col("text")), 1, F.col("use.words").cast("int")), " "))
+    used = used.select("doc_id", F.coalesce(text, "text").alias("text"), "lang", "source", "n_chars", part.alias("part"), "use")
+    size = F.when(F.col("part"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    placed = used.withColumn("n_chars", size).repartitionByRange("use.position", "doc_id")
+    return placed.sortWithinPartitions("use.position", "doc_id").select(*COLUMNS)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_chars, ids, text): ids of every text, and the text they decode to."""
+    configure(spark)
+    model = piece_model()
+    others = [name for name in COLUMNS if name != "text"]
+    encoded = chunk_table.encode(docs.select("text", F.struct(*others).alias("row")), model, "row")
+    return chunk_table.decode(encoded, model, "row").select("row.*", "ids", "text")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
+    ("repeated-bytes", drop_repeated_bytes),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
 
 # No SQL can express a trained classifier or a tokenizer; the tests compare with a brute-force version.
 ORACLE_SQL = None

@@ -23,13 +23,14 @@ START_BITS, SPAN_BITS, PRINT_BITS = 32, 8, 23
 NO_ID = (1 << 63) - 1  # stands for a null id, after all others
 
 
-def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, print, text in bytes). Rows that share an id are told apart by the fingerprint."""
+def keyed(docs: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
+    """(id, print, text in bytes, carried). Rows that share an id are told apart by the fingerprint."""
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("id"),
         F.xxhash64(body).bitwiseAND(F.lit((1 << PRINT_BITS) - 1)).alias("print"),
         body.cast("binary").alias("text"),
+        F.struct(*carry, F.lit(0).alias("_")).alias("carried"),
     )
 
 
@@ -84,7 +85,7 @@ def texts_with(docs: DataFrame, rows: DataFrame, columns: list[str], how: str) -
     """
     packed = rows.groupBy("id", "print").agg(F.collect_list(F.struct(*columns)).alias("rows"))
     found = docs.join(packed, ["id", "print"], how)
-    return found.select("id", "print", "text", *(F.col(f"rows.{name}").alias(name) for name in columns))
+    return found.select("id", "print", "text", "carried", *(F.col(f"rows.{name}").alias(name) for name in columns))
 
 
 def lists(batch: pa.RecordBatch, names: list[str]) -> Iterator[list[np.ndarray]]:

@@ -133,7 +133,7 @@ def greedy(low: np.ndarray, high: np.ndarray, ref: np.ndarray, ref_low: np.ndarr
 
 
 def _cut(window: int):
-    names = ["id", "n_words", "n_removed", "kept", "factors"]
+    names = ["id", "carried", "n_words", "n_removed", "kept", "factors"]
     factor = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "words", "ref", "ref_start")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,27 +152,35 @@ def _cut(window: int):
                 kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if removed[-1] else b" ".join(words))
                 parsed.append([dict(zip(("start", "words", "ref", "ref_start"), f)) for f in factors])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()),
+                [batch.column(0), batch.column(3), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()),
                  pa.array(parsed, factor)], names
             )
 
     return run
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, carry: list[str] | None = None
+) -> DataFrame:
     """(key, n_words, n_removed, kept, factors): one row per document; kept words joined by one space.
 
-    A factor's ``ref`` is the id of the document it was found in, null for a null id.
+    A factor's ``ref`` is the id of the document it was found in, null for a null id. ``carry`` names
+    columns to keep beside the results.
     """
-    source = anchors.keyed(docs, key, text)
+    carry = carry or []
+    source = anchors.keyed(docs, key, text, carry)
+    kind = source.schema["carried"].dataType.simpleString()
     found = matches(source, window)
     full = anchors.texts_with(source, found, ["low", "high", "ref", "ref_low"], "left")
     schema = (
-        "id bigint, n_words bigint, n_removed bigint, kept binary, "
+        f"id bigint, carried {kind}, n_words bigint, n_removed bigint, kept binary, "
         "factors array<struct<start:bigint,words:bigint,ref:bigint,ref_start:bigint>>"
     )
     out = full.mapInArrow(_cut(window), schema)
     named = F.transform(
         "factors", lambda f: f.withField("ref", F.when(f["ref"] < anchors.NO_ID, f["ref"]))
     ).alias("factors")
-    return out.select(anchors.unkeyed(key), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), named)
+    return out.select(
+        anchors.unkeyed(key), "n_words", "n_removed", F.col("kept").cast("string").alias("kept"), named,
+        *(F.col(f"carried.{c}").alias(c) for c in carry),
+    )

@@ -178,16 +178,28 @@ def _cut(window: int):
                 spans_.append([{"start": s, "end": e} for s, e in zip(bounds[::2], bounds[1::2])])
                 kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes() if removed[-1] else data)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans_, span),
-                 pa.array(kept, pa.binary())], ["id", "n_bytes", "n_removed", "spans", "kept"]
+                [batch.column(0), batch.column(3), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans_, span),
+                 pa.array(kept, pa.binary())], ["id", "carried", "n_bytes", "n_removed", "spans", "kept"]
             )
 
     return run
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(key, n_bytes, n_removed, spans, kept): one row per document; spans are the maximal removed runs."""
-    source = anchors.keyed(docs, key, text)
+def dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, carry: list[str] | None = None
+) -> DataFrame:
+    """(key, n_bytes, n_removed, spans, kept): one row per document; spans are the maximal removed runs.
+
+    ``carry`` names columns to keep beside them.
+    """
+    carry = carry or []
+    source = anchors.keyed(docs, key, text, carry)
+    kind = source.schema["carried"].dataType.simpleString()
     full = anchors.texts_with(source, repeats(source, window), ["low", "high"], "left")
-    schema = "id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
-    return full.mapInArrow(_cut(window), schema).select(anchors.unkeyed(key), "n_bytes", "n_removed", "spans", "kept")
+    schema = (
+        f"id bigint, carried {kind}, n_bytes bigint, n_removed bigint, "
+        "spans array<struct<start:bigint,end:bigint>>, kept binary"
+    )
+    return full.mapInArrow(_cut(window), schema).select(
+        anchors.unkeyed(key), "n_bytes", "n_removed", "spans", "kept", *(F.col(f"carried.{c}").alias(c) for c in carry)
+    )
