@@ -46,21 +46,24 @@ def base32_sha1(payload: bytes) -> str:
 # ---------------------------------------------------------------- records
 
 
-def identify(pages: DataFrame, key: str, url: str, html: str, least_bytes: int) -> DataFrame:
-    """(key, url, payload, refers_to): refers_to is null for response records.
+def identify(pages: DataFrame, key: str, url: str, html: str, least_bytes: int, archives: int) -> DataFrame:
+    """(key, url, payload, refers_to) dealt out over the archives; refers_to is null for responses.
 
-    Equal payloads meet by SHA-256. Only (digest, smallest id) rows are grouped, combined before the
-    shuffle; a hot payload's rows are split by adaptive execution in the join that follows.
+    Equal payloads meet by SHA-256. Only digests and ids are grouped, combined before the shuffle, and
+    joined; the payloads are shuffled once, by id and digest, to meet their row there.
     """
-    body = F.coalesce(F.col(html), F.lit(""))
-    rows = pages.select(
-        F.col(key).cast("bigint").alias("key"), F.col(url).cast("string").alias("url"), body.cast("binary").alias("payload")
-    ).withColumn("same", F.sha2("payload", 256))
-    first = rows.groupBy("same").agg(F.min("key").alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").select("same", "first")
-    joined = rows.join(first, "same", "left")
-    repeats = (F.octet_length("payload") >= least_bytes) & F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
-    return joined.select("key", "url", "payload", F.when(repeats, F.col("first")).alias("refers_to"))
+    body = F.coalesce(F.col(html), F.lit("")).cast("binary")
+    rows = pages.select(F.col(key).cast("bigint").alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload"))
+    rows = rows.withColumn("same", F.unhex(F.sha2("payload", 256)))
+    # pages without an id are told apart by their URL only to spread them
+    spread = F.when(F.col("key").isNull(), F.col("url"))
+    place = F.unhex(F.md5(F.concat_ws(" ", F.hex("same"), F.col("key").cast("string"), spread)))
+    rows = rows.withColumn("place", place)
+    narrow = rows.where(F.octet_length("payload") >= least_bytes).select("key", "same", "place")
+    first = narrow.groupBy("same").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    revisits = narrow.join(first, "same").where("first IS NOT NULL AND NOT key <=> first").select("place", "first").distinct()
+    met = rows.repartition(archives, "place").join(revisits.repartition(archives, "place"), "place", "left")
+    return met.select("key", "url", "payload", F.col("first").alias("refers_to"))
 
 
 def record(key: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
@@ -179,9 +182,8 @@ def write(
         if part:
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary())], ["frame"])
 
-    identified = identify(pages, key, url, html, least_bytes)
-    salted = identified.repartition(int(count), F.xxhash64("key", "url"))
-    out = salted.mapInArrow(archive, "frame binary").select(F.col("frame").cast("string").alias("value"))
+    identified = identify(pages, key, url, html, least_bytes, int(count))
+    out = identified.mapInArrow(archive, "frame binary").select(F.col("frame").cast("string").alias("value"))
     out.write.option("lineSep", EMPTY_FRAME.decode("ascii")).option("compression", "none").text(path)
 
 
