@@ -58,7 +58,7 @@ def main() -> None:
 
     source = order_tables.ratings(spark, FOLDER)
     run(source)  # start-up of the JVM and the file cache is not a query
-    timed("load", lambda: keep("ratings", session.spread(source, "UserID")))
+    timed("load", lambda: keep("ratings", source))
     ratings, meals = stored["ratings"], order_tables.meals(spark, FOLDER)
     timed("ratings_per_user", lambda: reports.count_by(ratings, "UserID"))
     timed("rating_share", lambda: reports.rating_share(ratings))
@@ -81,10 +81,10 @@ def main() -> None:
     timed("als_recommendations", lambda: factors.named_lists(cleaned, als.recommend(model)))
 
     features, positions = timed("sparse_matrix", lambda: topics.features_of(cleaned))
-    topic_model = timed("lda_fit_k10_5_iterations", lambda: lda.fit(features, 10, 5))
+    topic_model = timed("lda_fit_k10_100_iterations", lambda: lda.fit(features, 10))
     terms = lda.topic_terms(topic_model, positions)
     timed("lda_recommendations", lambda: lda.recommend_by_mix(topic_model, features, terms))
-    timed("lda_fit_and_metrics", lambda: lda.fit_metrics(features, 10, (5,)))
+    timed("lda_sweep_of_seven", lambda: lda.fit_metrics(features, 10))
 
     scale = Path(FOLDER).name.removeprefix("sf")
     total = round(sum(times.values()), 3)

@@ -8,7 +8,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from platewise import schemas, session
-from platewise.operators import lda
+from platewise.operators import als, lda
 from platewise.plans import clean, explore, factors, load, topics
 from platewise.sources import catalog, files, jdbc
 
@@ -30,11 +30,13 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--meals-driver", default=jdbc.JdbcTable.driver)
     job.add_argument("--meals-rows", type=int, help="largest mealno; splits the read over --meals-partitions")
     job.add_argument("--meals-partitions", type=int, default=8)
+    job.add_argument("--broken", choices=["set_aside", "fail"], default="set_aside", help="lines that do not parse")
 
     job = jobs.add_parser("explore", help="report files")
     job.add_argument("--out", required=True)
     job.add_argument("--form", choices=["csv", "json"], default="csv")
     job.add_argument("--mode", choices=["overwrite", "errorifexists", "ignore"], default="overwrite")
+    job.add_argument("--single-file", action="store_true", help="one file per report, written by one task")
 
     job = jobs.add_parser("clean", help="cleaned table and split files")
     job.add_argument("--splits")
@@ -48,15 +50,29 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--max-iter", type=int, default=lda.ITERATIONS)
     job.add_argument("--mode", choices=["mix", "positional"], default="mix")
     job.add_argument("--min-avg-rating", type=float)
+    job.add_argument("--from-matrix", action="store_true", help="take the cells from the saved matrix")
+    job.add_argument("--partitions", type=int, default=lda.PARTITIONS)
     job.add_argument("--seed", type=int, default=1)
 
     jobs.add_parser("names", help="saved id lists into name lists")
 
     job = jobs.add_parser("tune", help="LDA quality per number of iterations")
     job.add_argument("--k", type=int, default=10)
+    job.add_argument("--iterations", type=int, nargs="+", default=list(lda.SWEEP))
+    job.add_argument("--parallelism", type=int, default=4, help="models fitted at a time")
+    job.add_argument("--from-matrix", action="store_true", help="take the cells from the saved matrix")
+    job.add_argument("--partitions", type=int, default=lda.PARTITIONS)
     job.add_argument("--seed", type=int, default=1)
 
     job = jobs.add_parser("factors", help="lists from ALS")
+    job.add_argument("--n", type=int, default=als.MEALS)
+    job.add_argument("--rank", type=int, default=als.RANK)
+    job.add_argument("--max-iter", type=int, default=als.ITERATIONS)
+    job.add_argument("--alpha", type=float, default=als.ALPHA)
+    job.add_argument("--regularisation", type=float, default=als.REGULARISATION)
+    job.add_argument("--user-blocks", type=int, default=als.USER_BLOCKS)
+    job.add_argument("--meal-blocks", type=int, default=als.MEAL_BLOCKS)
+    job.add_argument("--exclude-seen", action="store_true", help="drop meals that the user has rated")
     job.add_argument("--seed", type=int, default=1)
     return parser
 
@@ -69,12 +85,12 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             source = jdbc.JdbcTable(args.meals_url, args.meals_table, args.meals_driver)
             split = ("mealno", 1, args.meals_rows, args.meals_partitions) if args.meals_rows else ()
             meals = jdbc.read_jdbc(spark, source, *split)
-        load.load(spark, files.read_ratings(spark, args.ratings), meals, args.database)
+        load.load(spark, files.read_ratings(spark, args.ratings), meals, args.database, args.broken).show()
     elif args.job == "explore":
         catalog.use_database(spark, args.database)
         ratings = catalog.read_table(spark, schemas.MEAL_RATING)
         meals = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
-        explore.write_reports(ratings, meals, args.out, args.form, args.mode)
+        explore.write_reports(ratings, meals, args.out, args.form, args.mode, args.single_file)
     elif args.job == "clean":
         clean.run(spark, args.splits, args.database).show()
     elif args.job == "matrix":
@@ -84,12 +100,19 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         topics.name_meals(spark, catalog.read_table(spark, schemas.USER_MEAL_IDS)).show()
     elif args.job == "topics":
         topics.run(
-            spark, args.k, args.max_iter, args.mode, args.min_avg_rating, args.seed, args.database
+            spark, args.k, args.max_iter, args.mode, args.min_avg_rating, args.seed, args.database, args.from_matrix,
+            args.partitions,
         ).show()
     elif args.job == "tune":
-        topics.tune(spark, args.k, seed=args.seed, database=args.database).show()
+        topics.tune(
+            spark, args.k, args.iterations, args.seed, args.database, args.from_matrix, args.parallelism, args.partitions
+        ).show()
     elif args.job == "factors":
-        factors.run(spark, seed=args.seed, database=args.database).show()
+        factors.run(
+            spark, args.n, args.seed, args.database, args.exclude_seen, rank=args.rank, max_iter=args.max_iter,
+            alpha=args.alpha, regularisation=args.regularisation, user_blocks=args.user_blocks,
+            meal_blocks=args.meal_blocks,
+        ).show()
 
 
 def main(argv: list[str] | None = None) -> None:

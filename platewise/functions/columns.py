@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _HASH_RANGE = 1 << 32
 
-# The stored form of a vector column, as its JSON shows it.
-_VECTOR_FIELDS = "type:tinyint,size:int,indices:array<int>,values:array<double>"
-
 
 def percent(part: Column, whole: Column, digits: int = 3) -> Column:
     return F.round(part / whole * 100, digits)
@@ -43,23 +38,16 @@ def part_name(position: Column, weights: Mapping[str, float]) -> Column:
     return last if chosen is None else chosen.otherwise(last)
 
 
-def sparse_vector(size: Column, indices: Column, values: Column) -> Column:
-    """ML vector from sorted index and value arrays.
-
-    Spark has no built-in function that takes a sparse pair of arrays, but its JSON functions
-    read and write a vector column through its stored fields.
-    """
-    stored = F.struct(
+def sparse_fields(size: Column, indices: Column, values: Column) -> Column:
+    """The stored form of a sparse ML vector: a plain struct that parquet holds like the vector itself."""
+    return F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         size.cast("int").alias("size"),
         indices.alias("indices"),
         values.alias("values"),
     )
-    wrapper = T.StructType([T.StructField("vector", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(stored.alias("vector"))), wrapper)["vector"]
 
 
 def vector_fields(vector: str) -> Column:
     """The stored fields of a sparse vector column as a plain struct, without making it dense."""
-    wrapper = f"vector struct<{_VECTOR_FIELDS}>"
-    return F.from_json(F.to_json(F.struct(F.col(vector).alias("vector"))), wrapper)["vector"]
+    return F.unwrap_udt(vector)

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from platewise.functions.columns import sparse_vector
+from platewise.functions.columns import sparse_fields
 from platewise.operators.keys import dense_index
 from platewise.session import stage
 
-# As many as Spark's own pivot allows; the sparse form has no such limit.
-WIDE_COLUMNS = 10_000
-
 
 def average_ratings(cleaned: DataFrame, min_avg_rating: float | None = None) -> DataFrame:
     """Average rating per meal, optionally only meals whose average is above a bound."""
@@ -46,10 +45,9 @@ def wide_matrix(cells: DataFrame, columns: Sequence, by: str = "MealID") -> Data
     """One row per user and one column per given value of ``by``, 0 where unrated.
 
     The columns are named up front, so no job looks for them, and rows of other values still
-    give their user a row.
+    give their user a row. How many columns a row can have is for the caller and Spark to say; the
+    sparse form has no such limit.
     """
-    if len(columns) > WIDE_COLUMNS:
-        raise ValueError(f"{len(columns)} columns are too many for the wide form; use user_vectors")
     pivoted = cells.groupBy("UserID").pivot(by, list(columns)).agg(F.first("Rating", ignorenulls=True))
     return pivoted.fillna(0)
 
@@ -57,9 +55,9 @@ def wide_matrix(cells: DataFrame, columns: Sequence, by: str = "MealID") -> Data
 def full_wide_matrix(cells: DataFrame) -> DataFrame:
     """The wide form over every rated meal, columns in MealID order, for meal lists that fit it.
 
-    Only the column names visit the driver, at most one more than the wide form can hold.
+    A column's name is part of the plan, so the names visit the driver, and nothing else.
     """
-    rated = cells.select("MealID").filter(F.col("MealID").isNotNull()).distinct().limit(WIDE_COLUMNS + 1)
+    rated = cells.select("MealID").filter(F.col("MealID").isNotNull()).distinct()
     return wide_matrix(cells, sorted(row["MealID"] for row in rated.collect()))
 
 
@@ -69,7 +67,7 @@ def feature_columns(wide: DataFrame) -> list[str]:
 
 def assemble(wide: DataFrame) -> DataFrame:
     """Wide matrix with its meal columns as one vector column ``features``."""
-    return VectorAssembler(inputCols=feature_columns(wide), outputCol="features").transform(wide)
+    return wide.withColumn("features", array_to_vector(F.array(*feature_columns(wide))))
 
 
 def meal_positions(cells: DataFrame) -> DataFrame:
@@ -82,7 +80,8 @@ def user_vectors(cells: DataFrame, positions: DataFrame) -> DataFrame:
 
     A (user, meal) pair occurs once in ``cells``, so a row never outgrows the number of meals.
     The vector size is read from the positions inside the plan; no meal list visits the driver.
-    Ratings may be fractional; unrated and 0 are the same to the vector.
+    Ratings may be fractional; unrated and 0 are the same to the vector. The vectors are staged: their
+    stored form is a plain struct, and reading it back under the vector type makes it a vector.
     """
     size = positions.agg(F.count("*")).scalar()
     cell = F.struct(F.col("Index").cast("int").alias("Index"), "Rating")
@@ -92,6 +91,8 @@ def user_vectors(cells: DataFrame, positions: DataFrame) -> DataFrame:
         .groupBy("UserID")
         .agg(F.sort_array(F.collect_list(cell)).alias("cells"))
     )
-    return per_user.select(
-        "UserID", sparse_vector(size, F.col("cells.Index"), F.col("cells.Rating")).alias("features")
+    stored = per_user.select(
+        "UserID", sparse_fields(size, F.col("cells.Index"), F.col("cells.Rating")).alias("features")
     )
+    kinds = T.StructType([stored.schema["UserID"], T.StructField("features", VectorUDT())])
+    return stage(stored, "features", kinds)

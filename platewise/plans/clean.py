@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from platewise import schemas
 from platewise.operators import keys, repeats, reports, splits
+from platewise.session import stage_by
 from platewise.sources import catalog
 from platewise.sources.files import write_json
 
@@ -27,8 +29,10 @@ def run(spark: SparkSession, split_folder: str | None = None, database: str = sc
     ratings = catalog.read_table(spark, schemas.MEAL_RATING)
     meals = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
     cleaned = catalog.save_table(clean(ratings, meals), schemas.CLEANED)
+    # the part is named once, and each file then reads its own folder only
+    named = stage_by(splits.assign_parts(cleaned), "part", "parts")
     if split_folder:
-        for name, part in splits.split(cleaned).items():
-            write_json(part, f"{split_folder}/{name}data.json")
+        for name in splits.SHARES:
+            write_json(named.where(F.col("part") == name).drop("part"), f"{split_folder}/{name}data.json")
     counts = reports.row_counts({"ratings": ratings, "cleaned": cleaned})
-    return counts.unionByName(splits.part_counts(cleaned))
+    return counts.unionByName(named.groupBy(F.col("part").alias("stage")).agg(F.count("*").alias("rows")))

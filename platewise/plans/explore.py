@@ -9,10 +9,15 @@ from platewise.sources.files import write_csv, write_json
 
 
 def write_reports(
-    ratings: DataFrame, meals: DataFrame, folder: str, form: str = "csv", mode: str = "overwrite"
+    ratings: DataFrame,
+    meals: DataFrame,
+    folder: str,
+    form: str = "csv",
+    mode: str = "overwrite",
+    single_file: bool = False,
 ) -> None:
-    """The five reports as one file each, and the repeated ratings in as many files as they fill."""
+    """The five reports, as one file each if wanted, and the repeated ratings in the files they fill."""
     write = {"csv": write_csv, "json": write_json}[form]
     for name, frame in reports.all_reports(ratings, meals).items():
-        write(frame, f"{folder}/{name}.{form}", mode=mode, single_file=True)
+        write(frame, f"{folder}/{name}.{form}", mode=mode, single_file=single_file)
     write(repeats.repeat_ratings(ratings), f"{folder}/repeats.{form}", mode=mode)

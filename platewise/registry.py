@@ -8,15 +8,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise import schemas
 from platewise.functions.columns import vector_fields
 from platewise.operators import als, keys, lda, lists, matrix, repeats, reports, splits
 from platewise.plans import clean, factors, load, topics
-from platewise.session import configure, stage, staged_path
+from platewise.session import configure, in_fixed_order, stage, staged_path
 from platewise.sources import catalog, files, order_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,23 +25,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-# Topics, LDA seed and iterations of the registered queries.
-K, SEED, LDA_ITERATIONS = 10, 7, 20
+# Topics and seed of the registered queries.
+K, SEED = 10, 7
+
+# Partitions that samples are drawn from, the same on every cluster.
+SAMPLE_PARTITIONS = 32
 
 # The user and meal of the drill-downs.
 USER, MEAL = "1401", "541"
 
-# Columns of the wide matrix: the best-selling meals by place.
-PLACES = [f"best{place:02d}" for place in range(1, 11)]
-
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, staged: bool = False):
     """Register a function of (ratings, meals) under its own name."""
 
     def register(build):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             configure(spark)
-            return build(order_tables.ratings(spark, folder), order_tables.meals(spark, folder))
+            ratings, meals = order_tables.ratings(spark, folder), order_tables.meals(spark, folder)
+            # the ratings are a join of two tables: a query of several passes stages it first
+            return build(stage(ratings, "ratings") if staged else ratings, meals)
 
         QUERIES[build.__name__] = run
         if sql is not None:
@@ -113,20 +116,9 @@ FITTED = (
 )"""
 )
 
-WIDE = (
-    CLEANED
-    + """, best AS (
-  SELECT MealID, row_number() OVER (ORDER BY n DESC, MealID) AS place FROM (
-    SELECT MealID, count(*) AS n FROM cleaned GROUP BY MealID ORDER BY n DESC, MealID LIMIT 10)
-), wide AS (
-  SELECT UserID, """
-    + ", ".join(
-        f"coalesce(max(CASE WHEN place = {place} THEN Rating END), 0.0) AS {name}"
-        for place, name in enumerate(PLACES, 1)
-    )
-    + """ FROM cleaned LEFT JOIN best ON cleaned.MealID = best.MealID GROUP BY UserID
-)"""
-)
+# A column per meal of the cleaned table, 0 where a user has not rated it.
+WIDE = """ SELECT UserID, coalesce(COLUMNS(* EXCLUDE UserID), 0) FROM (
+  PIVOT (SELECT UserID, MealID, Rating FROM cleaned) ON MealID USING first(Rating) GROUP BY UserID)"""
 
 SHARE_SQL = (
     R
@@ -290,10 +282,35 @@ def split_assignment(ratings, meals):
     return splits.assign_parts(clean.clean(ratings, meals)).select("UserID", "MealID", "part")
 
 
-@query()
+@query(
+    R
+    + CLEANED
+    + """ SELECT name, count(*) AS cleaned, TRUE AS in_bounds, TRUE AS distinct_rows, TRUE AS from_cleaned
+  FROM cleaned, (VALUES ('train'), ('test'), ('verify')) AS s(name) GROUP BY name""",
+    staged=True,
+)
 def bernoulli_samples(ratings, meals):
-    samples = splits.independent_samples(clean.clean(ratings, meals), splits.SHARES, SEED)
-    return reports.row_counts(samples)
+    """Each sample within four standard deviations of its share, no row twice, all rows from the table."""
+    cleaned = stage(in_fixed_order(clean.clean(ratings, meals), SAMPLE_PARTITIONS, "UserID", "MealID"), "cleaned")
+    total = cleaned.count()
+    checked = None
+    keys_ = ["UserID", "MealID"]
+    for name, rows in splits.independent_samples(cleaned, splits.SHARES, SEED).items():
+        share = splits.SHARES[name]
+        rows = stage(rows, f"sample-{name}")
+        met = rows.join(cleaned.select(*keys_, F.lit(1).alias("known")), keys_, "left")
+        bound = 4 * (total * share * (1 - share)) ** 0.5
+        facts = met.agg(
+            F.count("*").alias("n"), F.countDistinct(*keys_).alias("d"), F.count("known").alias("k")
+        ).select(
+            F.lit(name).alias("name"),
+            F.lit(total).cast("bigint").alias("cleaned"),
+            (F.abs(F.col("n") - total * share) <= bound).alias("in_bounds"),
+            (F.col("n") == F.col("d")).alias("distinct_rows"),
+            (F.col("n") == F.col("k")).alias("from_cleaned"),
+        )
+        checked = facts if checked is None else checked.unionByName(facts)
+    return checked
 
 
 @query(
@@ -303,7 +320,8 @@ def bernoulli_samples(ratings, meals):
   UNION ALL SELECT 'latest', count(*) FROM latest
   UNION ALL SELECT 'cleaned', count(*) FROM cleaned
   UNION ALL SELECT 'meals', count(DISTINCT MealID) FROM cleaned
-  UNION ALL SELECT part, count(*) FROM parts GROUP BY part"""
+  UNION ALL SELECT part, count(*) FROM parts GROUP BY part""",
+    staged=True,
 )
 def audit_counts(ratings, meals):
     cleaned = stage(clean.clean(ratings, meals), "cleaned")
@@ -329,7 +347,7 @@ def meal_ids(ratings, meals):
     return matrix.meal_ids(matrix.average_ratings(clean.clean(ratings, meals)))
 
 
-@query(R + CLEANED + " SELECT UserID, MealID, Rating FROM cleaned WHERE Rating <> 0")
+@query(R + CLEANED + " SELECT UserID, MealID, Rating FROM cleaned")
 def rating_matrix_long(ratings, meals):
     return matrix.rating_cells(clean.clean(ratings, meals))
 
@@ -345,20 +363,23 @@ def well_rated_cells(ratings, meals):
 
 
 def _wide(ratings, meals) -> DataFrame:
-    """All users against the ten best-selling meals, which SQL can name by place."""
-    cells = stage(matrix.rating_cells(clean.clean(ratings, meals)), "cells")
-    best = cells.groupBy("MealID").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "MealID").limit(10)
-    place = F.row_number().over(Window.orderBy(F.desc("n"), "MealID"))
-    best = best.select("MealID", F.format_string("best%02d", place).alias("place"))
-    return matrix.wide_matrix(cells.join(F.broadcast(best), "MealID", "left"), PLACES, by="place")
+    """All users against all meals."""
+    return matrix.full_wide_matrix(stage(matrix.rating_cells(clean.clean(ratings, meals)), "cells"))
 
 
-@query(R + WIDE + " SELECT * FROM wide")
+@query(R + CLEANED + WIDE, staged=True)
 def rating_matrix_wide(ratings, meals):
     return _wide(ratings, meals)
 
 
-@query(R + WIDE + f" SELECT UserID, concat_ws(',', {', '.join(PLACES)}) AS features FROM wide")
+@query(
+    R
+    + CLEANED
+    + """, g AS (SELECT UserID, MealID FROM (SELECT DISTINCT UserID FROM cleaned), (SELECT DISTINCT MealID FROM cleaned))
+  SELECT g.UserID, string_agg(CAST(coalesce(Rating, 0.0) AS VARCHAR), ',' ORDER BY g.MealID) AS features
+  FROM g LEFT JOIN cleaned ON g.UserID = cleaned.UserID AND g.MealID = cleaned.MealID GROUP BY g.UserID""",
+    staged=True,
+)
 def matrix_features(ratings, meals):
     return (
         matrix.assemble(_wide(ratings, meals))
@@ -367,7 +388,13 @@ def matrix_features(ratings, meals):
     )
 
 
-@query(R + CLEANED + " SELECT MealID, MealIndex AS Index FROM i WHERE MealID IN (SELECT MealID FROM cleaned)")
+# Columns are numbered over the meals of the cleaned table, which may be fewer than those rated.
+COLUMN_OF = """, n AS (
+  SELECT MealID, row_number() OVER (ORDER BY MealID) - 1 AS Index FROM (SELECT DISTINCT MealID FROM cleaned)
+)"""
+
+
+@query(R + CLEANED + COLUMN_OF + " SELECT MealID, Index FROM n")
 def meal_positions(ratings, meals):
     return matrix.meal_positions(matrix.rating_cells(clean.clean(ratings, meals)))
 
@@ -375,10 +402,11 @@ def meal_positions(ratings, meals):
 @query(
     R
     + CLEANED
-    + """ SELECT UserID, (SELECT CAST(count(DISTINCT MealID) AS INTEGER) FROM cleaned) AS size,
-  string_agg(CAST(MealIndex AS VARCHAR), ',' ORDER BY MealIndex) AS indices,
-  string_agg(CAST(Rating AS VARCHAR), ',' ORDER BY MealIndex) AS "values"
-  FROM cleaned GROUP BY UserID"""
+    + COLUMN_OF
+    + """ SELECT UserID, (SELECT CAST(count(*) AS INTEGER) FROM n) AS size,
+  string_agg(CAST(Index AS VARCHAR), ',' ORDER BY Index) AS indices,
+  string_agg(CAST(Rating AS VARCHAR), ',' ORDER BY Index) AS "values"
+  FROM cleaned JOIN n ON cleaned.MealID = n.MealID GROUP BY UserID"""
 )
 def rating_vectors(ratings, meals):
     features, _ = topics.features_of(stage(clean.clean(ratings, meals), "cleaned"))
@@ -414,15 +442,21 @@ def csv_report(ratings, meals):
 def catalog_tables(ratings, meals):
     spark = ratings.sparkSession
     database, before = f"meals_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
-    catalog.use_database(spark, database, staged_path(spark, "database"))
-    load.load(spark, ratings, meals, database)
-    saved = catalog.read_table(spark, schemas.MEAL_RATING)
-    names = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
-    spark.catalog.setCurrentDatabase(before)
-    return reports.count_by(saved.join(names, "MealID"), "MealID", "meal_name")
+    try:
+        catalog.use_database(spark, database, staged_path(spark, "database"))
+        load.load(spark, ratings, meals, database)
+        saved = catalog.read_table(spark, schemas.MEAL_RATING)
+        names = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
+        return stage(reports.count_by(saved.join(names, "MealID"), "MealID", "meal_name"), "counts")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
 
 
 # ---------------------------------------------------------------- ALS
+#
+# A fitted model is not for SQL to say. These queries check every row by a second route inside Spark and
+# return the outcome per key; SQL says which keys there must be, and that all are true.
 
 
 def _fitted(ratings, meals):
@@ -431,17 +465,66 @@ def _fitted(ratings, meals):
     return cleaned, model, test
 
 
-@query()
+def _dot(left: str, right: str):
+    pairs = F.zip_with(left, right, lambda a, b: a.cast("double") * b.cast("double"))
+    return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)
+
+
+def _close(a, b, relative: float = 1e-4):
+    return F.abs(a - b) <= relative * (F.lit(1e-3) + F.abs(a))
+
+
+LISTED = """, t AS (SELECT DISTINCT MealIndex FROM f WHERE train), n AS (SELECT least(10, count(*)) AS n FROM t)"""
+
+
+@query(
+    R
+    + FITTED
+    + LISTED
+    + """ SELECT UserID, (SELECT n FROM n) AS meals, TRUE AS distinct_listed, TRUE AS falling, TRUE AS scored, TRUE AS named
+  FROM u WHERE UserIndex IN (SELECT UserIndex FROM f WHERE train)""",
+    staged=True,
+)
 def als_recommendations(ratings, meals):
+    """Ten distinct listed meals per user, scores falling and equal to the factors' product, names in order."""
     cleaned, model, _ = _fitted(ratings, meals)
-    return factors.named_lists(cleaned, als.recommend(model)).select("UserID", text("meal_name_list"))
+    recommended = stage(als.recommend(model), "recommended")
+    users, items = (stage(side, "factors") for side in (model.userFactors, model.itemFactors))
+    names = stage(keys.lookup(cleaned, "MealIndex", "meal_name"), "meal-names")
+    rows = (
+        recommended.join(users.select(F.col("id").alias("UserIndex"), F.col("features").alias("p")), "UserIndex")
+        .join(items.select(F.col("id").alias("MealIndex"), F.col("features").alias("q")), "MealIndex")
+        .join(names, "MealIndex")
+        .select("UserIndex", "position", "MealIndex", "meal_name", "rating", _dot("p", "q").alias("product"))
+    )
+    listed = F.sort_array(F.collect_list(F.struct("position", "rating", "meal_name"))).alias("rows")
+    per_user = rows.groupBy("UserIndex").agg(
+        F.count("*").alias("meals"),
+        (F.countDistinct("MealIndex") == F.count("*")).alias("distinct_listed"),
+        F.every(_close(F.col("rating").cast("double"), F.col("product"))).alias("scored"),
+        listed,
+    )
+    following = F.zip_with(
+        F.slice("rows", 1, F.size("rows") - 1), F.slice("rows", 2, F.size("rows")), lambda a, b: a["rating"] >= b["rating"]
+    )
+    named = factors.named_lists(cleaned, recommended)
+    ids = keys.lookup(cleaned, "UserID", "UserIndex")
+    return per_user.join(ids, "UserIndex").join(named, "UserID").select(
+        "UserID",
+        "meals",
+        "distinct_listed",
+        F.forall(following, lambda x: x).alias("falling"),
+        "scored",
+        (F.transform("rows", lambda r: r["meal_name"]) == F.col("meal_name_list")).alias("named"),
+    )
 
 
 @query(
     R
     + FITTED
     + """ SELECT UserID, least(10, (SELECT count(DISTINCT MealIndex) FROM f WHERE train)) AS meals FROM u
-  WHERE UserIndex IN (SELECT UserIndex FROM f WHERE train)"""
+  WHERE UserIndex IN (SELECT UserIndex FROM f WHERE train)""",
+    staged=True,
 )
 def als_shape(ratings, meals):
     cleaned, model, _ = _fitted(ratings, meals)
@@ -452,12 +535,14 @@ def als_shape(ratings, meals):
 @query(
     R
     + FITTED
-    + """ SELECT 'user' AS side, CAST(UserIndex AS INTEGER) AS id, 10 AS rank FROM f WHERE train GROUP BY ALL
-  UNION ALL SELECT 'meal', CAST(MealIndex AS INTEGER), 10 FROM f WHERE train GROUP BY ALL"""
+    + """ SELECT 'user' AS side, CAST(UserIndex AS INTEGER) AS id, 10 AS rank, TRUE AS finite FROM f WHERE train GROUP BY ALL
+  UNION ALL SELECT 'meal', CAST(MealIndex AS INTEGER), 10, TRUE FROM f WHERE train GROUP BY ALL""",
+    staged=True,
 )
 def als_factors(ratings, meals):
     _, model, _ = _fitted(ratings, meals)
-    return als.factors(model).select("side", "id", F.size("features").alias("rank"))
+    finite = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return als.factors(model).select("side", "id", F.size("features").alias("rank"), finite.alias("finite"))
 
 
 @query(
@@ -465,18 +550,34 @@ def als_factors(ratings, meals):
     + FITTED
     + """ SELECT CAST(UserIndex AS INTEGER) AS UserIndex, CAST(MealIndex AS INTEGER) AS MealIndex, Rating,
   TRUE AS scored FROM f WHERE NOT train AND UserIndex IN (SELECT UserIndex FROM f WHERE train)
-  AND MealIndex IN (SELECT MealIndex FROM f WHERE train)"""
+  AND MealIndex IN (SELECT MealIndex FROM f WHERE train)""",
+    staged=True,
 )
 def als_scored(ratings, meals):
+    """Held-out pairs whose user and meal the model knows, each scored by the factors' product."""
     _, model, test = _fitted(ratings, meals)
+    users, items = (stage(side, "factors") for side in (model.userFactors, model.itemFactors))
     scored = als.predictions(model, test)
-    return scored.withColumn("scored", ~F.isnan("prediction")).drop("prediction")
+    full = scored.join(users.select(F.col("id").alias("UserIndex"), F.col("features").alias("p")), "UserIndex").join(
+        items.select(F.col("id").alias("MealIndex"), F.col("features").alias("q")), "MealIndex"
+    )
+    right = _close(F.col("prediction").cast("double"), _dot("p", "q"))
+    return full.select("UserIndex", "MealIndex", "Rating", right.alias("scored"))
 
 
-@query()
+@query(
+    R
+    + FITTED
+    + """ SELECT count(*) AS scored, TRUE AS as_evaluator FROM f WHERE NOT train
+  AND UserIndex IN (SELECT UserIndex FROM f WHERE train) AND MealIndex IN (SELECT MealIndex FROM f WHERE train)""",
+    staged=True,
+)
 def als_rmse(ratings, meals):
     _, model, test = _fitted(ratings, meals)
-    return als.rmse(als.predictions(model, test))
+    scored = stage(als.predictions(model, test), "scored")
+    judge = RegressionEvaluator(metricName="rmse", labelCol="Rating", predictionCol="prediction")
+    same = _close(F.col("rmse"), F.lit(judge.evaluate(scored)), 1e-9)
+    return als.rmse(scored).select(F.lit(scored.count()).cast("bigint").alias("scored"), same.alias("as_evaluator"))
 
 
 # ---------------------------------------------------------------- LDA
@@ -486,38 +587,103 @@ def _features(ratings, meals):
     return topics.features_of(stage(clean.clean(ratings, meals), "cleaned"))
 
 
-@query()
+TERMS_SQL = f"CAST(least({lda.TERMS}, (SELECT count(DISTINCT MealID) FROM cleaned)) AS BIGINT)"
+
+
+@query(
+    R
+    + CLEANED
+    + f""" SELECT CAST(topic AS INTEGER) AS topic, {TERMS_SQL} AS terms, TRUE AS weights, TRUE AS falling, TRUE AS listed
+  FROM range({K}) AS k(topic)""",
+    staged=True,
+)
 def lda_topics(ratings, meals):
+    """Every topic's terms: places 0, 1, ..., weights in (0, 1) and falling, listed meals."""
     features, positions = _features(ratings, meals)
-    return lda.topic_terms(lda.fit(features, K, LDA_ITERATIONS, SEED), positions)
+    terms = stage(lda.topic_terms(lda.fit(features, K, seed=SEED), positions), "terms")
+    known = terms.join(positions.select("MealID", F.lit(True).alias("known")), "MealID", "left")
+    rows = F.sort_array(F.collect_list(F.struct("position", "weight"))).alias("rows")
+    inside = F.every((F.col("weight") > 0) & (F.col("weight") < 1))
+    per_topic = known.groupBy("topic").agg(
+        F.count("*").alias("terms"),
+        inside.alias("weights"),
+        F.every(F.coalesce("known", F.lit(False))).alias("listed"),
+        rows,
+    )
+    in_order = F.forall(
+        F.sequence(F.lit(0), F.size("rows") - 1),
+        lambda i: (F.get("rows", i)["position"] == i)
+        & ((i == 0) | (F.get("rows", i)["weight"] <= F.coalesce(F.get("rows", i - 1)["weight"], F.lit(2.0)))),
+    )
+    return per_topic.select("topic", "terms", "weights", in_order.alias("falling"), "listed")
 
 
-@query()
+@query(
+    R + CLEANED + f" SELECT CAST(topic AS INTEGER) AS topic, {TERMS_SQL} AS meals, TRUE AS heaviest_first FROM range({K}) AS k(topic)",
+    staged=True,
+)
 def lda_topic_lists(ratings, meals):
+    """Every topic's list against the places of its terms, joined one by one."""
     features, positions = _features(ratings, meals)
-    terms = lda.topic_terms(lda.fit(features, K, LDA_ITERATIONS, SEED), positions)
-    return lda.topic_lists(terms).select("topic", text("MealIDs"))
+    terms = stage(lda.topic_terms(lda.fit(features, K, seed=SEED), positions), "terms")
+    lists_ = lda.topic_lists(terms).select("topic", F.posexplode("MealIDs").alias("position", "MealID"))
+    met = lists_.join(terms, ["topic", "position", "MealID"], "left")
+    return met.groupBy("topic").agg(
+        F.count("*").alias("meals"), F.every(F.col("weight").isNotNull()).alias("heaviest_first")
+    )
 
 
-@query()
+@query(R + CLEANED + f" SELECT DISTINCT UserID, {TERMS_SQL} AS meals, TRUE AS best FROM cleaned", staged=True)
 def lda_recommendations(ratings, meals):
-    ids = stage(topics.meal_lists(*_features(ratings, meals), K, LDA_ITERATIONS, seed=SEED), "meal-ids")
-    return lists.name_lists(lists.explode_ids(ids), meals).select("UserID", text("meal_name_list"))
+    """Every user's named list against a join and sum of topic mix times term weight."""
+    features, positions = _features(ratings, meals)
+    model = lda.fit(features, K, seed=SEED)
+    terms = stage(lda.topic_terms(model, positions), "terms")
+    ids = stage(lda.recommend_by_mix(model, features, terms), "meal-ids")
+    named = lists.name_lists(lists.explode_ids(ids), meals)
+    mixes = model.transform(features).select(
+        "UserID", F.posexplode(vector_to_array("topicDistribution")).alias("topic", "share")
+    )
+    scores = mixes.join(terms, "topic").groupBy("UserID", "MealID").agg(F.sum(F.col("share") * F.col("weight")).alias("score"))
+    ranked = F.reverse(F.array_sort(F.collect_list("score"))).alias("scores")
+    best = scores.groupBy("UserID").agg(ranked)
+    got = ids.select("UserID", F.posexplode("MealIDs").alias("position", "MealID")).join(scores, ["UserID", "MealID"], "left")
+    got = got.join(meals.select(F.col("mealID").alias("MealID"), "meal_name"), "MealID", "left")
+    rows = F.sort_array(F.collect_list(F.struct("position", "score", "meal_name"))).alias("rows")
+    full = got.groupBy("UserID").agg(rows).join(best, "UserID").join(named, "UserID")
+    # equal scores may stand in either order, so places are compared by score
+    right = F.forall(
+        F.sequence(F.lit(0), F.size("rows") - 1),
+        lambda i: _close(F.get("rows", i)["score"], F.get("scores", i), 1e-9),
+    )
+    same_names = F.transform("rows", lambda r: r["meal_name"]) == F.col("meal_name_list")
+    return full.select("UserID", F.size("meal_name_list").cast("bigint").alias("meals"), (right & same_names).alias("best"))
 
 
-@query(R + CLEANED + " SELECT DISTINCT UserID, 5 AS meals FROM cleaned")
+@query(R + CLEANED + f" SELECT DISTINCT UserID, {lda.TERMS} AS meals, TRUE AS distinct_listed FROM cleaned", staged=True)
 def lda_shape(ratings, meals):
-    ids = topics.meal_lists(*_features(ratings, meals), K, LDA_ITERATIONS, seed=SEED)
-    return ids.select("UserID", F.size("MealIDs").alias("meals"))
-
-
-@query(R + CLEANED + f" SELECT DISTINCT UserID, 5 AS meals FROM cleaned ORDER BY UserID LIMIT {K}")
-def lda_positional(ratings, meals):
-    ids = topics.meal_lists(*_features(ratings, meals), K, LDA_ITERATIONS, "positional", seed=SEED)
-    return ids.select("UserID", F.size("MealIDs").alias("meals"))
+    features, positions = _features(ratings, meals)
+    ids = topics.meal_lists(features, positions, K, lda.ITERATIONS, seed=SEED)
+    listed = ids.select("UserID", F.explode("MealIDs").alias("MealID")).join(positions, "MealID")
+    whole = listed.groupBy("UserID").agg(F.countDistinct("MealID").alias("known"))
+    return ids.join(whole, "UserID").select(
+        "UserID", F.size("MealIDs").alias("meals"), (F.col("known") == F.size("MealIDs")).alias("distinct_listed")
+    )
 
 
-@query()
+@query(
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"({value}, TRUE, TRUE)" for value in lda.SWEEP)
+    + ") AS v(max_iter, below_zero, as_per_word)",
+    staged=True,
+)
 def lda_fit_metrics(ratings, meals):
-    features, _ = _features(ratings, meals)
-    return lda.fit_metrics(features, K, seed=SEED)
+    """The whole sweep: likelihoods under 0, and perplexity the likelihood per rating point."""
+    cleaned = stage(clean.clean(ratings, meals), "cleaned")
+    features, _ = topics.features_of(cleaned)
+    points = cleaned.agg(F.sum("Rating")).first()[0]
+    return lda.fit_metrics(features, K, seed=SEED).select(
+        "max_iter",
+        (F.col("log_likelihood") < 0).alias("below_zero"),
+        _close(F.col("log_perplexity"), -F.col("log_likelihood") / points, 1e-9).alias("as_per_word"),
+    )

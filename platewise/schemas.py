@@ -35,6 +35,10 @@ USER_MEAL_IDS = "UserIDANDMealID"
 LDA_LIST = "LDARecommendList"
 ALS_LIST = "ALSRecommendList"
 
+# Lines of the inputs that did not parse.
+BAD_RATINGS = "BrokenRatings"
+BAD_MEALS = "BrokenMeals"
+
 
 def require(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Fail early when ``df`` lacks a declared column or holds it under another type.

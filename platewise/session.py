@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings the results or the skew handling depend on. All can be changed on a running session.
 RUNTIME = {
@@ -66,33 +69,65 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside the block is deleted at its end; read results before that."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    path = _folder(spark)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, path)
+
+
+def _folder(spark: SparkSession) -> str:
+    return "/".join([staging_root(spark).rstrip("/"), spark.sparkContext.applicationId, *_scopes])
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the staging root."""
-    application = spark.sparkContext.applicationId
-    return f"{staging_root(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex}"
+    return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     This cuts the lineage, survives lost executors, fixes values that a recomputation could
     change (row numbers of a range partitioning), and gives later joins real file sizes, so that
-    a side is broadcast only when it is known to be small.
+    a side is broadcast only when it is known to be small. ``schema`` reads it under other types of
+    the same stored form.
     """
     spark = df.sparkSession
     path = staged_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """At least one partition per slot, for work that is large against the bytes it reads."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+def stage_by(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Stage in one folder per value of ``column``, so that a filter on it reads its folder only."""
+    path = staged_path(df.sparkSession, label)
+    df.write.partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_fixed_order(df: DataFrame, partitions: int, key: str, *more: str) -> DataFrame:
+    """Rows dealt by ``key`` to a number of partitions that is the caller's choice, and sorted there.
+
+    For work whose result depends on partitions or order, as sampling does: it is then the same on
+    every cluster and however the rows were read. Together the columns should be unique.
+    """
+    return df.repartition(partitions, key).sortWithinPartitions(key, *more)
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application staged."""
-    root = f"{staging_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{staging_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}")

@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 from platewise.schemas import CORRUPT, MEAL_LIST, RATING
 from platewise.session import stage
 
-SINGLE_FILE_ROWS = 100_000
-
-
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Scan JSON lines under a declared schema, so that no inference pass reads the file first.
 
@@ -34,16 +31,11 @@ def read_meals(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _placed(df: DataFrame, single_file: bool) -> DataFrame:
-    """One output file for a report that is small; an error, not a cut, for one that is not.
+    """One output file where the caller wants it: one task then copies the whole report.
 
-    The report is computed once, into the staging folder, and counted and copied from there.
+    The report is computed on all cores first, into the staging folder, and copied from there.
     """
-    if not single_file:
-        return df
-    staged = stage(df, "report")
-    if staged.count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for a single file; write it partitioned")
-    return staged.coalesce(1)
+    return stage(df, "report").coalesce(1) if single_file else df
 
 
 def write_csv(

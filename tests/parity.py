@@ -52,7 +52,7 @@ def compare(df, connection, sql) -> str | None:
 
 def main(folder: str, names: list[str]) -> None:
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-    from platewise import registry
+    from platewise import registry, session
     from pyspark.sql import SparkSession
 
     spark = (
@@ -67,12 +67,13 @@ def main(folder: str, names: list[str]) -> None:
     connection = database(folder)
     for name in names or registry.QUERIES:
         start = time.time()
-        frame = registry.QUERIES[name](spark, folder)
-        if name in registry.SQL:
-            outcome = compare(frame, connection, registry.SQL[name]) or "equal"
-        else:
-            rows = frame.collect()
-            outcome = f"{len(rows)} rows, no SQL; first {rows[:1]}"
+        with session.scope(spark):
+            frame = registry.QUERIES[name](spark, folder)
+            if name in registry.SQL:
+                outcome = compare(frame, connection, registry.SQL[name]) or "equal"
+            else:
+                rows = frame.collect()
+                outcome = f"{len(rows)} rows, no SQL; first {rows[:1]}"
         print(f"{name:26s} {time.time() - start:7.2f}s  {outcome}", flush=True)
 
 

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -33,7 +34,7 @@ def test_meals_from_json(spark, tmp_path):
     assert (row["mealno"], row["mealID"], row["meal_name"]) == (1, None, "soup")
 
 
-def test_csv_modes_and_single_file(spark, tmp_path, monkeypatch):
+def test_csv_modes_and_single_file(spark, tmp_path):
     path = tmp_path / "report"
     df = spark.range(40).repartition(4)
     files.write_csv(df, str(path), mode="errorifexists", single_file=True)
@@ -43,9 +44,9 @@ def test_csv_modes_and_single_file(spark, tmp_path, monkeypatch):
         files.write_csv(df, str(path), mode="errorifexists")
     files.write_csv(df, str(path), header=True)
     assert spark.read.option("header", True).csv(str(path)).columns == ["id"]
-    monkeypatch.setattr(files, "SINGLE_FILE_ROWS", 39)
-    with pytest.raises(ValueError, match="single file"):
-        files.write_csv(df, str(path), single_file=True)
+    many = spark.range(100_001).repartition(4)
+    files.write_csv(many, str(path), single_file=True)
+    assert len(list(path.glob("part-*"))) == 1 and spark.read.csv(str(path)).count() == 100_001
 
 
 def test_catalog(spark, rate, tmp_path):
@@ -141,6 +142,35 @@ def test_a_cluster_needs_a_shared_folder():
         session.staging_root(Session())
 
 
-def test_spread(spark):
-    assert session.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == 8
-    assert session.spread(spark.range(10).repartition(20), "id").rdd.getNumPartitions() == 20
+def test_fixed_order_does_not_depend_on_the_input_s_partitions(spark):
+    rows = [
+        session.in_fixed_order(spark.range(500).repartition(n), 7, "id").rdd.glom().map(lambda p: [r[0] for r in p]).collect()
+        for n in (2, 8)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 7 and all(part == sorted(part) for part in rows[0])
+
+
+def test_a_scope_deletes_what_was_staged_in_it(spark):
+    with session.scope(spark):
+        staged = session.stage(spark.range(5), "five")
+        folder = Path(staged.inputFiles()[0].removeprefix("file://")).parent
+        assert staged.count() == 5
+    assert not folder.exists() and not folder.parent.exists()
+
+
+def test_broken_lines_are_counted_and_set_aside(spark, tmp_path):
+    from platewise.plans import load
+
+    path, before = tmp_path / "ratings.json", spark.catalog.currentDatabase()
+    path.write_text("\n".join([json.dumps(ROW), "not json", json.dumps(ROW | {"Rating": "5"})]))
+    meals = spark.createDataFrame([(1, "m", "soup")], schemas.MEAL_LIST)
+    try:
+        audit = load.load(spark, files.read_ratings(spark, str(path)), meals, "broken_test")
+        got = {r["stage"]: r["rows"] for r in audit.collect()}
+        assert got == {schemas.MEAL_RATING: 1, schemas.BAD_RATINGS: 2, schemas.MEAL_LIST_TABLE: 1, schemas.BAD_MEALS: 0}
+        assert "not json" in {r[0] for r in catalog.read_table(spark, schemas.BAD_RATINGS).collect()}
+        with pytest.raises(ValueError, match="do not parse"):
+            load.load(spark, files.read_ratings(spark, str(path)), meals, "broken_test", broken="fail")
+        assert catalog.read_table(spark, schemas.MEAL_RATING).count() == 1
+    finally:
+        spark.catalog.setCurrentDatabase(before)
