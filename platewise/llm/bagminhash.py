@@ -10,10 +10,10 @@ register. Two signatures agree in a register with exactly the probability of the
 
 Equal word sequences become one node before anything else. Signatures are cut into bands; nodes that
 agree in a band meet. In every bucket all nodes are compared with one leader, the multisets
-themselves, and connected; this is repeated with other leaders for buckets that still hold several
-components, and at last every pair of unconnected nodes in such buckets is compared. So no pair that
-meets in a band is missed, and copies never form all pairs. The class of a document is the smallest
-id of its component.
+themselves, and connected. In buckets that still hold several components every pair of unconnected
+nodes is compared: in small buckets as rows, in large ones block against block inside a task, which
+gives back only the links that connect. So no pair that meets in a band is missed, and the rows made
+stay in proportion to the nodes in buckets. The class of a document is the smallest id of its component.
 
 Null and empty texts have no words and no duplicates. Repeated rows and equal ids with equal words
 are copies; a null id is a document like others. Extra columns are not read.
@@ -25,6 +25,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # A pair of similarity 0.8 fails to meet in all bands with probability (1 - 0.8^4)^32 < 10^-7.
 BANDS, ROWS = 32, 4
-STAR_ROUNDS = 3
+# Buckets of more nodes are compared in blocks of so many nodes, others as rows.
+SMALL_BUCKET = 32
+BLOCK_NODES = 768
 BATCH_WORDS = 200_000
 
 
@@ -181,38 +184,107 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float
         full = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
         return stage(full.mapInArrow(_verifier(least), "a binary, b binary"), label)
 
-    seen = links = None
-    roots = members.select("node").distinct().withColumn("root", F.col("node"))
-    for number in range(STAR_ROUNDS + 1):
-        placed = members.select("band", "node").join(roots, "node")
-        mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        open_ = placed.join(mixed.select("band"), "band", "left_semi")
-        if number < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("node", F.lit(number)), "node", "root")
-            leaders = open_.groupBy("band").agg(F.min(order).alias("first"))
-            leaders = leaders.select("band", F.col("first.node").alias("b"), F.col("first.root").alias("root_b"))
-            met = open_.join(leaders, "band").where("root <> root_b").select(F.col("node").alias("a"), "b")
-        else:
-            left, right = open_.alias("l"), open_.alias("r")
-            met = left.join(right, F.expr("l.band = r.band AND l.root < r.root")).select(
-                F.col("l.node").alias("a"), F.col("r.node").alias("b")
-            )
-        pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = stage(pairs, f"pairs-{number}")
-        if pairs.isEmpty():
-            break
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        found = compare(pairs, f"links-{number}")
-        if found.isEmpty():
-            continue
-        links = found if links is None else links.unionByName(found)
-        joined = stage(components(links, f"near-{number}"), f"roots-{number}")
-        rest = members.select("node").distinct().join(joined.select(F.col("id").alias("node")), "node", "left_anti")
-        roots = joined.select(F.col("id").alias("node"), "root").unionByName(rest.withColumn("root", F.col("node")))
-        roots = stage(roots, f"all-roots-{number}")
-    return sketched.select("key", "node"), roots
+    # a leader for each bucket, by an order that is the same in all: copies of one text meet one leader
+    order = F.struct(F.xxhash64("node"), "node")
+    leaders = members.groupBy("band").agg(F.min(order).alias("first")).select("band", F.col("first.node").alias("b"))
+    met = members.join(leaders, "band").where("node <> b").select(F.col("node").alias("a"), "b")
+    stars = compare(stage(_ordered(met), "stars"), "star-links")
+    roots = _roots(members, stars, "star")
+
+    placed = members.select("band", "node").join(roots, "node")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+    open_ = stage(placed.join(mixed.where("low <> high").select("band", "n"), "band"), "open")
+    left, right = open_.where(F.col("n") <= SMALL_BUCKET).alias("l"), open_.alias("r")
+    few = left.join(right, F.expr("l.band = r.band AND l.root < r.root"))
+    links = compare(stage(_ordered(few.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))), "few"), "few-links")
+    many = _block_links(open_.where(F.col("n") > SMALL_BUCKET), bags, least)
+    found = links.unionByName(many)
+    # links between roots: the components of what is left are those of a small graph
+    of = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    to = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    between = stage(found.join(of, "a").join(to, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "between")
+    if between.isEmpty():
+        return sketched.select("key", "node"), roots
+    merged = components(between, "merged").select(F.col("id").alias("root"), F.col("root").alias("top"))
+    final = roots.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return sketched.select("key", "node"), stage(final, "roots")
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _roots(members: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """(node, root) of every node in a bucket."""
+    nodes = members.select("node").distinct()
+    joined = components(links, label).select(F.col("id").alias("node"), "root")
+    return stage(nodes.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{label}-roots")
+
+
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Common elements of every pair of two lists of sets, by products of their incidence matrices."""
+    found, inverse, times = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[inverse]
+    owner = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    column, owner = column[column >= 0], owner[column >= 0]
+    total = np.zeros((len(a), len(b)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        some = slice(*np.searchsorted(column, (low, low + 4096)))
+        held = np.zeros((len(a) + len(b), 4096), np.float32)
+        held[owner[some], column[some] - low] = 1
+        total += held[: len(a)] @ held[len(a) :].T
+    return total
+
+
+def _elements(data: bytes) -> np.ndarray:
+    """A multiset as a set: an element for every shingle and number of its occurrence."""
+    values, counts = shingles(data)
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.where(number == 0, np.repeat(values, counts), mix(np.repeat(values, counts) + number.astype(np.uint64)))
+
+
+def _block(least: float, part: int = 128):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        p, q = int(rows["p"].iloc[0]), int(rows["q"].iloc[0])
+        one = rows[rows["block"] == p].reset_index(drop=True)
+        two = rows[rows["block"] == q].reset_index(drop=True)
+        parent: dict[bytes, bytes] = {}
+
+        def top(x: bytes) -> bytes:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        sets = {frame: [_elements(text) for text in table["text"]] for frame, table in ((1, one), (2, two))}
+        for i in range(0, len(one), part):
+            for j in range(i if p == q else 0, len(two), part):
+                a, b = sets[1][i : i + part], sets[2][j : j + part]
+                both = overlaps(a, b)
+                sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+                for x, y in np.argwhere(both >= least * (sizes - both) - 1e-6).tolist():
+                    s, t = one["root"][i + x], two["root"][j + y]
+                    u, v = top(s), top(t)
+                    if u != v and both[x, y] / (sizes[x, y] - both[x, y]) >= least:
+                        parent[u] = v
+                        out.append((one["node"][i + x], two["node"][j + y]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
+def _block_links(open_: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """Links between components in large buckets, every block of a bucket against every other."""
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK_NODES)).cast("int")
+    dealt = open_.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    paired = dealt.select("band", "node", "root", "block", other).select(
+        "band", "node", "root", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
+    )
+    full = paired.join(bags, "node").groupBy("band", "p", "q").applyInPandas(_block(least), "a binary, b binary")
+    return stage(full.distinct(), "block-links")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
