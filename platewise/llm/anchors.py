@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,13 +82,26 @@ def batches_of(names: list[str], rows: Iterator[tuple[np.ndarray, ...]], limit:
 def texts_with(docs: DataFrame, rows: DataFrame, columns: list[str], how: str) -> DataFrame:
     """Documents with the rows of theirs as arrays; ``rows`` has id, print and the columns (all long).
 
-    The rows of one document are bounded by its text. The texts are shuffled once, by id.
+    The rows of one document are bounded by its text. The texts are shuffled once, by id, compressed;
+    ``plain`` is the way back.
     """
     packed = rows.groupBy("id", "print").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    found = docs.join(packed, ["id", "print"], how)
+    found = docs.mapInArrow(_compressed, docs.schema).join(packed, ["id", "print"], how)
     return found.select("id", "print", "text", "carried", *(F.col(f"rows.{name}").alias(name) for name in columns))
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    compressor = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = pa.array((compressor.compress(text.as_py()) for text in batch.column(2)), batch.schema.field(2).type)
+        yield batch.set_column(2, batch.schema.field(2), texts)
+
+
+def plain(batch: pa.RecordBatch, row: int) -> bytes:
+    """The text of a row of ``texts_with``."""
+    return zstandard.decompress(batch.column(2)[row].as_py())
+
+
 def lists(batch: pa.RecordBatch, names: list[str]) -> Iterator[list[np.ndarray]]:
     """For every row of a batch its array columns as numpy arrays, empty for null."""
     columns = [batch.column(batch.schema.get_field_index(name)) for name in names]

@@ -63,7 +63,7 @@ def _windows(window: int):
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids = batch.column(0).to_numpy()
         for at, (places,) in enumerate(anchors.lists(batch, ["place"])):
-            data = b" ".join(batch.column(2)[at].as_py().split())
+            data = b" ".join(anchors.plain(batch, at).split())
             starts, ends = word_bounds(data)
             low, high = anchors.unpack(places)
             size = high - low + 1
@@ -140,7 +140,7 @@ def _cut(window: int):
         for batch in batches:
             total, removed, kept, parsed = [], [], [], []
             for at, found in enumerate(anchors.lists(batch, ["low", "high", "ref", "ref_low"])):
-                words = batch.column(2)[at].as_py().split()
+                words = anchors.plain(batch, at).split()
                 factors = greedy(*found, window)
                 edge = np.zeros(len(words) + 1, np.int64)
                 for start, size, *_ in factors:

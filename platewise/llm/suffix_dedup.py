@@ -9,7 +9,8 @@ come as far as every window through it surely reaches, the threshold, keeps its
 are the places whose surroundings stand elsewhere too.
 
 Under a rank, equal blocks of windows are repeated as a whole; where unlike blocks share a rank, at the
-ends of repeated passages, their windows are compared one by one, each distinct block once. Every
+ends of repeated passages, their windows are compared one by one, each distinct block once, after a
+look at what runs of windows have in common. Every
 window that also starts elsewhere is removed, overlaps and the same document included.
 
 Null and empty texts, and those shorter than a window, lose nothing. Repeated rows are copies of each
@@ -32,6 +33,7 @@ from platewise.session import stage
 
 WINDOW = 400
 GRAM = 16
+PART = 16  # windows that are ruled out together
 WIDTH = 128  # grams in which an anchor is the smallest; every window holds its first WIDTH grams
 POSITION_BITS = 33
 
@@ -109,15 +111,53 @@ def double(positions: DataFrame) -> DataFrame:
         alive = stage(kept.unionByName(done), f"round-{number}")
 
 
-def _windows(window: int):
+def _cores(window: int, gram: int, width: int):
+    """(id, place, alone, part, core) of every part of the blocks listed with a text.
+
+    A part has the windows whose anchors lie in the same PART offsets; its core is what all windows with
+    such an offset hold, also those that a block lacks.
+    """
+
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids = batch.column(0).to_numpy()
         for at, (places, alone) in enumerate(anchors.lists(batch, ["place", "alone"])):
-            data = batch.column(2)[at].as_py()
+            data = anchors.plain(batch, at)
+            sums = prefixes(data)
+            low, high = anchors.unpack(places)
+            anchor = _anchors(sums, low, gram, width)
+            first, last = (anchor - high) // PART, (anchor - low) // PART
+            size = last - first + 1
+            part = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            at_anchor = np.repeat(anchor, size)
+            core = spans(sums, at_anchor - part * PART, at_anchor - part * PART - (PART - 1) + window)
+            yield np.full(len(part), ids[at]), np.repeat(places, size), np.repeat(alone, size), part, core.view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from anchors.batches_of(["id", "place", "alone", "part", "core"], (row for b in batches for row in rows(b)))
+
+    return run
+
+
+def _anchors(sums: np.ndarray, low: np.ndarray, gram: int, width: int) -> np.ndarray:
+    """The anchors of the blocks that start at ``low``."""
+    reach = low[:, None] + np.arange(width)[None, :]
+    return low + np.argmin(spans(sums, reach, reach + gram), axis=1)
+
+
+def _windows(window: int, gram: int, width: int):
+    """(id, place, start, w1, w2) of every window of the parts listed with a text."""
+
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        ids = batch.column(0).to_numpy()
+        for at, (places, part, alone) in enumerate(anchors.lists(batch, ["place", "part", "alone"])):
+            data = anchors.plain(batch, at)
+            sums = prefixes(data)
             low, high = anchors.unpack(places)
+            anchor = _anchors(sums, low, gram, width)
+            low, high = np.maximum(low, anchor - part * PART - (PART - 1)), np.minimum(high, anchor - part * PART)
             size = high - low + 1
             first = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            w1 = spans(prefixes(data), first, first + window)
+            w1 = spans(sums, first, first + window)
             # the second hash is of the bytes reversed: two functions of one text
             w2 = mix(spans(prefixes(data[::-1]), len(data) - first - window, len(data) - first))
             yield np.full(len(first), ids[at]), np.repeat(places, size), np.repeat(alone, size), first, w1.view(np.int64), w2.view(np.int64)
@@ -149,10 +189,16 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int
     )
     unlike = unlike.withColumn("print", anchors.print_of(place))
     listed = anchors.texts_with(docs, unlike, ["place", "alone"], "inner")
-    cut = listed.mapInArrow(
-        _windows(window), "id bigint, place bigint, alone bigint, start bigint, w1 bigint, w2 bigint"
+    parts = stage(
+        listed.mapInArrow(_cores(window, gram, width), "id bigint, place bigint, alone bigint, part bigint, core bigint"),
+        "parts",
     )
-    cut = stage(cut, "windows")
+    # windows whose common core stands nowhere else cannot stand anywhere else
+    again = parts.groupBy("core").count().where("count > 1").select("core")
+    near = parts.join(again, "core", "left_semi").withColumn("print", anchors.print_of(place))
+    compared = anchors.texts_with(docs, near, ["place", "part", "alone"], "inner")
+    schema = "id bigint, place bigint, alone bigint, start bigint, w1 bigint, w2 bigint"
+    cut = stage(compared.mapInArrow(_windows(window, gram, width), schema), "windows")
     known = cut.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     single = cut.where("alone = 1").join(known, ["w1", "w2"], "left_semi").select(
         "id", anchors.print_of(place).alias("print"), F.col("start").alias("low"), F.col("start").alias("high")
@@ -167,7 +213,7 @@ def _cut(window: int):
         for batch in batches:
             total, removed, spans_, kept = [], [], [], []
             for at, (low, high) in enumerate(anchors.lists(batch, ["low", "high"])):
-                data = batch.column(2)[at].as_py()
+                data = anchors.plain(batch, at)
                 edge = np.zeros(len(data) + 1, np.int64)
                 np.add.at(edge, low, 1)
                 np.add.at(edge, high + window, -1)
