@@ -2,10 +2,10 @@
 
 Where no piece of the vocabulary has a whitespace marker after another character, a piece cannot cross
 from one marked word (markers, then the characters up to the next marker) into the next, and the
-merges of one marked word never depend on another. So a task keeps a table from marked word to ids,
-asks the library once for every new entry, and puts the ids of a text together by position. The
-table is bounded: a full one starts anew. A model without that property, or whose normaliser
-changes texts, encodes whole texts.
+merges of one marked word never depend on another. So a task takes some megabytes of texts at a time,
+makes a table of their distinct marked words, has the library segment every entry once, and joins the
+ids back by position. The table is bounded by the texts it is made from; a longer text has one of its
+own. A model without that property, or whose normaliser changes texts, encodes whole texts.
 
 Null and empty texts encode to the end id alone and decode to an empty text. Repeated rows and equal
 ids are encoded one by one; texts of any length stay whole; columns other than the id and the text
@@ -20,7 +20,9 @@ from functools import lru_cache
 from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +30,8 @@ from pyspark.sql import functions as F
 MARKER = "▁"
 CHUNK = re.compile(" +[^ ]*")
 
-# Entries of a task's table, and the longest word that enters it.
-TABLE_ENTRIES = 1 << 17
-TABLE_CHARS = 64
+# Text (or ids) that a task works on at a time.
+PART_CHARS = 2 << 20
 
 
 def load(model: bytes) -> sentencepiece.SentencePieceProcessor:
@@ -53,25 +54,44 @@ def splits_at_markers(model: bytes) -> bool:
     return bool(plain and inside and fallback and not how.precompiled_charsmap and not proto.trainer_spec.treat_whitespace_as_suffix)
 
 
-class ChunkTable(dict):
-    """Ids of marked words, each segmented once by the library."""
+def by_table(processor: sentencepiece.SentencePieceProcessor, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, where each text's ids end) through one table of distinct marked words."""
+    chunks = [CHUNK.findall(" " + text.replace(MARKER, " ")) if text else [] for text in texts]
+    placed = pa.array(list(chain.from_iterable(chunks)), pa.large_string()).dictionary_encode()
+    # the library puts one marker before whatever it encodes, but none before nothing
+    entries = processor.encode([chunk[1:] for chunk in placed.dictionary.to_pylist()])
+    marker = [processor.piece_to_id(MARKER)]
+    entries = [ids or marker for ids in entries]
+    sizes = np.fromiter(map(len, entries), np.int64, len(entries))
+    values = np.fromiter(chain.from_iterable(entries), np.int32, int(sizes.sum()))
+    return join_back(values, sizes, placed.indices.to_numpy(), np.fromiter(map(len, chunks), np.int64, len(chunks)))
 
-    def __init__(self, processor: sentencepiece.SentencePieceProcessor):
-        super().__init__()
-        self.processor, self.marker = processor, processor.piece_to_id(MARKER)
 
-    def __missing__(self, chunk: str) -> list[int]:
-        # the library puts one marker before whatever it encodes, but none before nothing
-        ids = self.processor.encode(chunk[1:]) if len(chunk) > 1 else [self.marker]
-        if len(chunk) <= TABLE_CHARS:
-            if len(self) >= TABLE_ENTRIES:
-                self.clear()
-            self[chunk] = ids
-        return ids
+def join_back(values: np.ndarray, sizes: np.ndarray, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lay the entries at ``places`` end to end; ``counts`` entries belong to each text."""
+    first = np.cumsum(sizes) - sizes
+    long = sizes[places]
+    ends = np.concatenate(([0], np.cumsum(long)))
+    steps = np.arange(ends[-1]) - np.repeat(ends[:-1], long) + np.repeat(first[places], long)
+    return values[steps], ends[np.cumsum(counts)]
 
-    def encode(self, text: str) -> Iterator[int]:
-        chunks = CHUNK.findall(" " + text.replace(MARKER, " ")) if text else ()
-        return chain.from_iterable(map(self.__getitem__, chunks))
+
+def whole(processor: sentencepiece.SentencePieceProcessor, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The same without a table."""
+    ids = processor.encode(texts)
+    return np.fromiter(chain.from_iterable(ids), np.int32), np.cumsum([len(x) for x in ids])
+
+
+def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about PART_CHARS together."""
+    start = total = 0
+    for at, size in enumerate(sizes):
+        total += size
+        if total >= PART_CHARS:
+            yield start, at + 1
+            start, total = at + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -79,11 +99,14 @@ def encode(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         processor = load(model)
-        end = [processor.eos_id()]
-        table = ChunkTable(processor).encode if splits_at_markers(model) else processor.encode
+        segment = by_table if splits_at_markers(model) else whole
         for batch in batches:
-            ids = [list(chain(table(value), end)) for value in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
+            for start, end in _parts(pc.binary_length(batch.column(1)).to_pylist()):
+                keys = batch.column(0).slice(start, end - start)
+                ids, ends = segment(processor, batch.column(1).slice(start, end - start).to_pylist())
+                ids = np.insert(ids, ends, processor.eos_id())
+                offsets = np.concatenate(([0], ends + np.arange(1, len(ends) + 1))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(offsets, pa.array(ids))], ["key", "ids"])
 
     source = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = source.schema["key"].dataType.simpleString()
@@ -96,8 +119,14 @@ def decode(encoded: DataFrame, model: bytes, key: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         processor = load(model)
         for batch in batches:
-            texts = [processor.decode(ids or []) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["key", "ids", "text"])
+            sizes = [size or 0 for size in pc.list_value_length(batch.column(1)).to_pylist()]
+            for start, end in _parts(sizes):
+                part = batch.slice(start, end - start)
+                flat, at, texts = part.column(1).flatten().to_numpy().tolist(), 0, []
+                for size in sizes[start:end]:
+                    texts.append(processor.decode(flat[at : at + size]))
+                    at += size
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["key", "ids", "text"])
 
     source = encoded.select(F.col(key).alias("key"), "ids")
     kind = source.schema["key"].dataType.simpleString()
