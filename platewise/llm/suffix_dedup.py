@@ -21,6 +21,7 @@ a character.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -92,23 +93,21 @@ def double(positions: DataFrame) -> DataFrame:
     """Prefix doubling over (id, number, rounds, phrase, ...): the rows left, with their last rank."""
     repeated = positions.groupBy("phrase").count().where("count > 1").select("phrase")
     alive = positions.join(ranked(repeated, ["phrase"], "rank", "ranks-0"), "phrase").drop("phrase")
-    alive = stage(alive, "round-0")
-    number = 0
+    alive, done, number = stage(alive, "round-0"), [], 0
     while True:
         number += 1
+        # positions that have come as far as they can stay where they were written
+        done.append(alive.where(F.col("rounds") == number - 1))
         going = alive.where(F.col("rounds") >= number)
         if going.isEmpty():
-            return alive
-        other = alive.where(F.col("rounds") >= number - 1).select(
-            "id", (F.col("number") - (1 << (number - 1))).alias("number"), F.col("rank").alias("rank2")
-        )
+            return reduce(DataFrame.unionByName, done)
+        other = alive.select("id", (F.col("number") - (1 << (number - 1))).alias("number"), F.col("rank").alias("rank2"))
         # rows that are told apart by nothing else share id and number; any of them stands for the text
         pairs = going.join(other.dropDuplicates(["id", "number"]), ["id", "number"])
         again = pairs.groupBy("rank", "rank2").count().where("count > 1").select("rank", "rank2")
         named = ranked(again, ["rank", "rank2"], "named", f"ranks-{number}")
         kept = pairs.join(named, ["rank", "rank2"]).drop("rank", "rank2").withColumnRenamed("named", "rank")
-        done = alive.where(F.col("rounds") < number)
-        alive = stage(kept.unionByName(done), f"round-{number}")
+        alive = stage(kept, f"round-{number}")
 
 
 def _cores(window: int, gram: int, width: int):
