@@ -16,6 +16,8 @@ from platewise.llm.common import table, words
 from platewise.llm.queries import piece_model, toxicity_chain
 from platewise.session import configure, stage
 
+# Passages of over 50 words that stand in several places are cut, as are repeats of the operator's 400 bytes.
+PASSAGE_WORDS = 51
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -46,9 +48,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their repeated byte strings. Of a character that a span cuts nothing stays."""
+    """Texts without their repeated passages and byte strings. Of a character that a span cuts nothing stays."""
     configure(spark)
-    cut = suffix_dedup.dedup(docs.withColumn("whole", F.col("text")), carry=["whole", "lang", "source", "n_chars"])
+    carry = ["whole", "lang", "source", "n_chars"]
+    cut = suffix_dedup.dedup(docs.withColumn("whole", F.col("text")), carry=carry, words=PASSAGE_WORDS)
     some = F.col("n_removed") > 0
     left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
     text = F.when(some, left).otherwise(F.col("whole"))

@@ -32,10 +32,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def prefixes(data: bytes) -> np.ndarray:
     """Sums that give the hash of any substring, see ``spans``."""
-    n = len(data)
+    return sums_of(_BYTES[np.frombuffer(data, np.uint8)])
+
+
+def sums_of(values: np.ndarray) -> np.ndarray:
+    """As ``prefixes``, of any sequence of 64-bit numbers."""
+    n = len(values)
     _grow(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[np.frombuffer(data, np.uint8)] * _powers[0][:n], out=sums[1:])
+    np.cumsum(values * _powers[0][:n], out=sums[1:])
     return sums
 
 
@@ -52,6 +57,24 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(data)]))
 
 
+def raw_word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of any text: runs of anything but the ASCII blanks."""
+    byte = np.frombuffer(data, np.uint8)
+    word = ((byte != 32) & ((byte < 9) | (byte > 13))).view(np.int8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], word, [0]))))
+    return edge[::2], edge[1::2]
+
+
+def word_sums(data: bytes) -> np.ndarray:
+    """Sums over the words of a text: ``spans`` of them hashes runs of words."""
+    return sums_of(spans(prefixes(data), *raw_word_bounds(data)))
+
+
+def reversed_word_sums(data: bytes) -> np.ndarray:
+    """``word_sums`` of the bytes reversed: another function of the same words."""
+    return word_sums(data[::-1])
+
+
 def minima(values: np.ndarray, width: int) -> np.ndarray:
     """For every window of ``width`` values the place of its smallest, the leftmost of equals."""
     n = len(values) - width + 1

@@ -13,6 +13,8 @@ ends of repeated passages, their windows are compared one by one, each distinct
 look at what runs of windows have in common. Every
 window that also starts elsewhere is removed, overlaps and the same document included.
 
+Windows are counted in bytes, or in words: then the units are the words' hashes, and all else is alike.
+
 Null and empty texts, and those shorter than a window, lose nothing. Repeated rows are copies of each
 other and lose all windows. Extra columns are not read. Kept bytes are bytes: a span may cut through
 a character.
@@ -29,17 +31,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.llm import anchors
-from platewise.llm.rolling import mix, prefixes, spans
+from platewise.llm.rolling import mix, prefixes, raw_word_bounds, reversed_word_sums, spans, word_sums
 from platewise.session import stage
 
 WINDOW = 400
 GRAM = 16
-PART = 16  # windows that are ruled out together
 WIDTH = 128  # grams in which an anchor is the smallest; every window holds its first WIDTH grams
 POSITION_BITS = 33
+WORD_GRAM = 5  # the gram of windows that are counted in words
+
+
+def widest(window: int, gram: int) -> int:
+    """The greatest width of anchors that a window allows."""
+    return (window - gram + 2) // 3
+
+
+def _part(width: int) -> int:
+    """Windows that are ruled out together."""
+    return max(1, width // 8)
+
+
+def _sums(data: bytes, by_words: bool) -> np.ndarray:
+    return word_sums(data) if by_words else prefixes(data)
 
 
-def _index(window: int, gram: int, width: int):
+def _wordy(data: bytes, window: int, words: int) -> bool:
+    """Whether every window of bytes holds ``words`` whole words, so that their runs say all."""
+    starts, ends = raw_word_bounds(data)
+    begun, ended = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
+    begun[starts + 1], ended[ends] = 1, 1
+    begun, ended = np.cumsum(begun), np.cumsum(ended)
+    return bool((ended[window:] - begun[: len(begun) - window] >= words).all())
+
+
+def _index(window: int, gram: int, width: int, by_words: bool, words: int | None):
     """(id, number, place, rounds, phrase, block) of every anchor; block is of windows, 0 if it has none."""
     reach = window - 2 * width - gram + 2  # anchors up to here after one belong to all windows through it
     if reach < width:
@@ -49,10 +74,12 @@ def _index(window: int, gram: int, width: int):
         ids, prints = (batch.column(i).to_numpy() for i in (0, 1))
         for at, text in enumerate(batch.column(2)):
             data = text.as_py()
-            n = len(data)
+            if len(data) < window or (words and _wordy(data, window, words)):
+                continue
+            sums = _sums(data, by_words)
+            n = len(sums) - 1
             if n < window:
                 continue
-            sums = prefixes(data)
             every = np.arange(n - gram + 1)
             anchor, low, high = anchors.blocks(spans(sums, every, every + gram), width)
             phrase = spans(sums, anchor[:-1], anchor[1:] + gram)
@@ -110,25 +137,27 @@ def double(positions: DataFrame) -> DataFrame:
         alive = stage(kept, f"round-{number}")
 
 
-def _cores(window: int, gram: int, width: int):
+def _cores(window: int, gram: int, width: int, by_words: bool):
     """(id, place, alone, part, core) of every part of the blocks listed with a text.
 
-    A part has the windows whose anchors lie in the same PART offsets; its core is what all windows with
+    A part has the windows whose anchors lie in the same few offsets; its core is what all windows with
     such an offset hold, also those that a block lacks.
     """
 
+    each = _part(width)
+
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids = batch.column(0).to_numpy()
         for at, (places, alone) in enumerate(anchors.lists(batch, ["place", "alone"])):
             data = anchors.plain(batch, at)
-            sums = prefixes(data)
+            sums = _sums(data, by_words)
             low, high = anchors.unpack(places)
             anchor = _anchors(sums, low, gram, width)
-            first, last = (anchor - high) // PART, (anchor - low) // PART
+            first, last = (anchor - high) // each, (anchor - low) // each
             size = last - first + 1
             part = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             at_anchor = np.repeat(anchor, size)
-            core = spans(sums, at_anchor - part * PART, at_anchor - part * PART - (PART - 1) + window)
+            core = spans(sums, at_anchor - part * each, at_anchor - part * each - (each - 1) + window)
             yield np.full(len(part), ids[at]), np.repeat(places, size), np.repeat(alone, size), part, core.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,22 +172,24 @@ def _anchors(sums: np.ndarray, low: np.ndarray, gram: int, width: int) -> np.nda
     return low + np.argmin(spans(sums, reach, reach + gram), axis=1)
 
 
-def _windows(window: int, gram: int, width: int):
+def _windows(window: int, gram: int, width: int, by_words: bool):
     """(id, place, start, w1, w2) of every window of the parts listed with a text."""
+    each = _part(width)
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids = batch.column(0).to_numpy()
         for at, (places, part, alone) in enumerate(anchors.lists(batch, ["place", "part", "alone"])):
             data = anchors.plain(batch, at)
-            sums = prefixes(data)
+            sums = _sums(data, by_words)
             low, high = anchors.unpack(places)
             anchor = _anchors(sums, low, gram, width)
-            low, high = np.maximum(low, anchor - part * PART - (PART - 1)), np.minimum(high, anchor - part * PART)
+            low, high = np.maximum(low, anchor - part * each - (each - 1)), np.minimum(high, anchor - part * each)
             size = high - low + 1
             first = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             w1 = spans(sums, first, first + window)
             # the second hash is of the bytes reversed: two functions of one text
-            w2 = mix(spans(prefixes(data[::-1]), len(data) - first - window, len(data) - first))
+            back, n = reversed_word_sums(data) if by_words else prefixes(data[::-1]), len(sums) - 1
+            w2 = mix(spans(back, n - first - window, n - first))
             yield np.full(len(first), ids[at]), np.repeat(places, size), np.repeat(alone, size), first, w1.view(np.int64), w2.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +199,20 @@ def _windows(window: int, gram: int, width: int):
     return run
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int = WIDTH) -> DataFrame:
-    """(id, print, low, high): runs of windows that also start elsewhere."""
+def repeats(
+    docs: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    width: int = WIDTH,
+    by_words: bool = False,
+    words: int | None = None,
+) -> DataFrame:
+    """(id, print, low, high): runs of windows that also start elsewhere, counted in bytes or words.
+
+    With ``words``, texts of which every window holds so many words are left out.
+    """
     schema = "id bigint, number bigint, place bigint, rounds bigint, phrase bigint, block bigint"
-    left = double(docs.mapInArrow(_index(window, gram, width), schema)).where("place >= 0")
+    left = double(docs.mapInArrow(_index(window, gram, width, by_words, words), schema)).where("place >= 0")
     group = ["rounds", "rank"]
     contents = left.groupBy(*group, "block").agg(F.count("*").alias("n"), F.min(F.struct("id", "place")).alias("one"))
     contents = stage(contents, "contents")
@@ -189,7 +230,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int
     unlike = unlike.withColumn("print", anchors.print_of(place))
     listed = anchors.texts_with(docs, unlike, ["place", "alone"], "inner")
     parts = stage(
-        listed.mapInArrow(_cores(window, gram, width), "id bigint, place bigint, alone bigint, part bigint, core bigint"),
+        listed.mapInArrow(_cores(window, gram, width, by_words), "id bigint, place bigint, alone bigint, part bigint, core bigint"),
         "parts",
     )
     # windows whose common core stands nowhere else cannot stand anywhere else
@@ -197,7 +238,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int
     near = parts.join(again, "core", "left_semi").withColumn("print", anchors.print_of(place))
     compared = anchors.texts_with(docs, near, ["place", "part", "alone"], "inner")
     schema = "id bigint, place bigint, alone bigint, start bigint, w1 bigint, w2 bigint"
-    cut = stage(compared.mapInArrow(_windows(window, gram, width), schema), "windows")
+    cut = stage(compared.mapInArrow(_windows(window, gram, width, by_words), schema), "windows")
     known = cut.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     single = cut.where("alone = 1").join(known, ["w1", "w2"], "left_semi").select(
         "id", anchors.print_of(place).alias("print"), F.col("start").alias("low"), F.col("start").alias("high")
@@ -205,17 +246,23 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, width: int
     return whole.unionByName(single)
 
 
-def _cut(window: int):
+def _cut(window: int, words: int | None):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, spans_, kept = [], [], [], []
-            for at, (low, high) in enumerate(anchors.lists(batch, ["low", "high"])):
+            for at, (low, high, by_words) in enumerate(anchors.lists(batch, ["low", "high", "by_words"])):
                 data = anchors.plain(batch, at)
+                start, end = low, high + window
+                if by_words.any():
+                    starts, ends = raw_word_bounds(data)
+                    some = by_words > 0
+                    start, end = start.copy(), end.copy()
+                    start[some], end[some] = starts[low[some]], ends[high[some] + words - 1]
                 edge = np.zeros(len(data) + 1, np.int64)
-                np.add.at(edge, low, 1)
-                np.add.at(edge, high + window, -1)
+                np.add.at(edge, start, 1)
+                np.add.at(edge, end, -1)
                 gone = np.cumsum(edge)[:-1] > 0
                 bounds = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).tolist()
                 total.append(len(data))
@@ -231,20 +278,34 @@ def _cut(window: int):
 
 
 def dedup(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, carry: list[str] | None = None
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    window: int = WINDOW,
+    carry: list[str] | None = None,
+    gram: int = GRAM,
+    width: int = WIDTH,
+    words: int | None = None,
 ) -> DataFrame:
     """(key, n_bytes, n_removed, spans, kept): one row per document; spans are the maximal removed runs.
 
+    With ``words``, every run of so many words that also stands elsewhere is removed too, however few its
+    bytes and whatever blanks are between; a run of ``window`` bytes that holds so many whole words is
+    then cut at words. A shorter window needs a smaller ``width``, see ``widest``.
     ``carry`` names columns to keep beside them.
     """
     carry = carry or []
     source = anchors.keyed(docs, key, text, carry)
     kind = source.schema["carried"].dataType.simpleString()
-    full = anchors.texts_with(source, repeats(source, window), ["low", "high"], "left")
+    found = repeats(source, window, gram, width, words=words).withColumn("by_words", F.lit(0).cast("bigint"))
+    if words:
+        runs = repeats(source, words, WORD_GRAM, widest(words, WORD_GRAM), by_words=True)
+        found = found.unionByName(runs.withColumn("by_words", F.lit(1).cast("bigint")))
+    full = anchors.texts_with(source, found, ["low", "high", "by_words"], "left")
     schema = (
         f"id bigint, carried {kind}, n_bytes bigint, n_removed bigint, "
         "spans array<struct<start:bigint,end:bigint>>, kept binary"
     )
-    return full.mapInArrow(_cut(window), schema).select(
+    return full.mapInArrow(_cut(window, words), schema).select(
         anchors.unkeyed(key), "n_bytes", "n_removed", "spans", "kept", *(F.col(f"carried.{c}").alias(c) for c in carry)
     )

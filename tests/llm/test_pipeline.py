@@ -64,6 +64,23 @@ def test_stages(spark, folder):
     assert all(r["ids"] == [*library.encode(r["text"]), library.eos_id()] for r in seen["sentencepiece"])
 
 
+@pytest.mark.parametrize("size", [50, 51, 55, 60])
+def test_passages_of_over_50_words_are_cut(spark, size):
+    chance = random.Random(size)
+    word = lambda: f"w{chance.randrange(9000)}"
+    passage = " ".join(word() for _ in range(size))
+    rows = []
+    for i in range(6):
+        before, after = ([word() for _ in range(150)] for _ in range(2))
+        text = "\n".join([" ".join(before), passage * (i < 2), " ".join(after)])
+        rows.append((i, text, "en", "s", len(text)))
+    assert len(passage) < 400
+    got = corpus_pipeline.drop_repeated_bytes(spark, spark.createDataFrame(rows, TEXT), "").collect()
+    left = {r["doc_id"]: len(r["text"].split()) for r in got}
+    assert left == {i: 300 + size * (i < 2 and size < 51) for i in range(6)}
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
 def test_run_is_registered():
     import __spark_entry__ as contract
 

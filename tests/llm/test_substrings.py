@@ -107,3 +107,40 @@ def test_empty_table(spark, docs, dedup):
 def test_carried_columns(spark, docs):
     got = rlz.dedup(docs([(1, "a b"), (None, None)]), carry=["lang", "key"]).collect()
     assert sorted((r["lang"], r["key"]) for r in got) == [("en", "x")] * 2
+
+
+def passages_brute(rows, size):
+    """The words that no run of ``size`` words with a copy elsewhere covers."""
+    split = [(text or "").encode().split() for _, text in rows]
+    count = {}
+    for words in split:
+        for i in range(len(words) - size + 1):
+            count[tuple(words[i : i + size])] = count.get(tuple(words[i : i + size]), 0) + 1
+    gone = [set() for _ in split]
+    for at, words in enumerate(split):
+        for i in range(len(words) - size + 1):
+            if count[tuple(words[i : i + size])] > 1:
+                gone[at].update(range(i, i + size))
+    return [(doc, b" ".join(w for i, w in enumerate(words) if i not in cut)) for (doc, _), words, cut in zip(rows, split, gone)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_of_words(spark, docs, seed):
+    chance = random.Random(seed)
+    passage = ["".join(chance.choices("abcde", k=chance.randint(1, 5))) for _ in range(62)]
+    rows = []
+    for i in range(60):
+        body = ["".join(chance.choices("fghij", k=4)) for _ in range(chance.randint(0, 60))]
+        at, first = chance.randint(0, len(body)), chance.randint(0, 9)
+        body[at:at] = passage[first : first + chance.choice([0, 49, 50, 51, 52, 55])]
+        rows.append((i, chance.choice([" ", "\n", "  "]).join(body)))
+    rows += [(100 + i, text) for i, text in enumerate(EDGE) if not text or len(text.split()) != 1] + [(None, " ".join(passage))]
+    got = suffix_dedup.dedup(docs(rows), words=51).selectExpr("doc_id", "kept")
+    got = [(doc, b" ".join(bytes(kept).split())) for doc, kept in got.collect()]
+    assert sorted(got, key=repr) == sorted(passages_brute(rows, 51), key=repr)
+
+
+def test_long_words_keep_the_byte_window(spark, docs):
+    rows = [(1, "p" * 5 + "xyz" * 400), (2, "q " + "xyz" * 400), (3, "a b c " * 20)]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.dedup(docs(rows), words=51).collect()}
+    assert got == {1: 1200, 2: 1200, 3: len("a b c " * 20) - 1}
