@@ -1,7 +1,8 @@
 """Operator 6: nearest neighbours by cross-polytope hashing.
 
-Vectors are scaled to unit length, or, where lengths differ, lengthened by one more coordinate to the
-largest length, so that the largest inner product is the nearest direction. A table's pseudo-rotation
+Members are indexed in ranges of length, each range on its own: a vector is lengthened by one more
+coordinate to the greatest length of its range, so that the largest inner product is the nearest
+direction, and one very long vector leaves the directions of all others as they are. A table's pseudo-rotation
 is three rounds of random signs and a fast Hadamard transform; a vector belongs to the signed axis
 nearest to it. A query looks into the axes nearest to it in every table. The candidates of all tables
 are scored exactly, in double precision, on the original vectors.
@@ -10,9 +11,12 @@ Equal vectors are one member of the index, with their smallest ids. A bucket wit
 dealt into blocks of bounded size by a hash, and a query that probes the bucket visits every block;
 no block is skipped. Every vector is indexed.
 
+A query for which the tables yield fewer than ``k`` ids, though there are more, is scored against all
+members, block by block; so a query gets all candidates where there are no more than ``k``.
+
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take
-no part, nor do null ids. Repeated rows of one id are listed once. Extra columns are not read. With
-no more than ``k`` candidates a query gets those its probes meet; ties go to the smaller id.
+no part, nor do null ids. Repeated rows of one id are listed once. Extra columns are not read. Ties
+go to the smaller id.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ TABLES = 8
 # Signed axes that a query visits in each table, of the 2 x (next power of two) there are.
 PROBES = 32
 BLOCK_ROWS = 4096
+# Lengths of one range differ by less than this factor.
+RANGE = 1.25
 SEED = 11
 
 
@@ -54,16 +60,16 @@ def rotate(x: np.ndarray, table: int, seed: int = SEED) -> np.ndarray:
     return padded
 
 
-def directions(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
+def directions(x: np.ndarray, longest: np.ndarray, query: bool) -> np.ndarray:
     """Unit vectors whose angle orders like the inner product with a query.
 
-    An indexed vector gets a last coordinate that lengthens it to ``longest``; a query gets 0 there.
+    An indexed vector gets a last coordinate that lengthens it to its row's ``longest``; a query gets 0 there.
     """
     length = np.linalg.norm(x, axis=1)
     if query:
         return np.column_stack((x / length[:, None], np.zeros(len(x))))
     rest = np.sqrt(np.maximum(0.0, 1.0 - (length / longest) ** 2))
-    return np.column_stack((x / longest, rest))
+    return np.column_stack((x / longest[:, None], rest))
 
 
 def axes(rotated: np.ndarray, probes: int) -> np.ndarray:
@@ -87,20 +93,27 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("vector") == (sizes[0]["size"] if sizes else 0))
 
 
-def _buckets(members: DataFrame, longest: Column, tables: int, probes: int, query: bool, schema: str) -> DataFrame:
-    """Every row once for each table and axis it belongs to or probes."""
+def length(vector: Column) -> Column:
+    """Length of a vector that has a component other than 0, without overflow of the squares."""
+    most = F.array_max(F.transform(vector, lambda x: F.abs(x).cast("double")))
+    scaled = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x.cast("double") / most) * (x.cast("double") / most))
+    return most * F.sqrt(scaled)
+
+
+def _buckets(members: DataFrame, tables: int, probes: int, query: bool, schema: str) -> DataFrame:
+    """Every row once for each table and axis it belongs to or probes; ``longest`` is its range's length."""
 
     def run(batches):
         for batch in batches:
             if not len(batch):
                 continue
-            x = directions(_matrix(batch["vector"]), float(batch["longest"].iloc[0]), query)
+            x = directions(_matrix(batch["vector"]), batch["longest"].to_numpy(), query)
             for table in range(tables):
                 found = axes(rotate(x, table), probes)
                 part = batch.loc[batch.index.repeat(found.shape[1])].drop(columns="longest")
                 yield part.assign(cell=(table << 20) + found.ravel())
 
-    return members.withColumn("longest", longest).mapInPandas(run, schema)
+    return members.mapInPandas(run, schema)
 
 
 def _nearest(k: int):
@@ -144,24 +157,47 @@ def search(
     numbered = ids.join(members, "vector").select("key", "member")
     members = stage(members.select(F.col("member").alias("key"), "vector"), "members")
     copies = stage(numbered, "copies")
-    longest = rows.agg(F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))).first()[0] or 1.0
-    schema = f"key bigint, vector {rows.schema['vector'].dataType.simpleString()}, cell bigint"
-    indexed = stage(_buckets(members, F.lit(longest), tables, 1, False, schema), "index")
-    queries = rows.withColumnRenamed(key, "key").where(is_query).dropDuplicates(["key"])
-    probed = _buckets(queries, F.lit(longest), tables, probes, True, schema)
-    # at most 2 x size axes in each table, whatever the number of rows: safe to broadcast
-    counts = indexed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
+    kind = rows.schema["vector"].dataType.simpleString()
+    sized = members.withColumn("length", length(F.col("vector")))
+    longest = sized.agg(F.max("length")).first()[0] or 1.0
+    # range 0 ends at the greatest length of all, every further one at the start of the one before
+    number = F.floor((F.lit(float(np.log(longest))) - F.log("length")) / float(np.log(RANGE)))
+    sized = sized.withColumn("range", F.greatest(number, F.lit(0)).cast("int")).drop("length")
+    sized = sized.withColumn("longest", F.lit(longest) * F.pow(F.lit(1 / RANGE), "range"))
+    schema = f"key bigint, vector {kind}, range int, cell bigint"
+    indexed = stage(_buckets(sized, tables, 1, False, schema), "index")
+    queries = stage(rows.where(is_query).dropDuplicates(["key"]), "queries")
+    # a query's direction is the same in all ranges
+    probed = _buckets(queries.withColumn("longest", F.lit(1.0)), tables, probes, True, f"key bigint, vector {kind}, cell bigint")
+    # at most 2 x size axes in each table and range, whatever the number of rows: safe to broadcast
+    counts = indexed.groupBy("cell", "range").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks"))
     counts = F.broadcast(stage(counts, "cells"))
     left = probed.join(counts, "cell").select(
-        "key", "vector", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        "key", "vector", "cell", "range", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     )
-    right = indexed.join(counts, "cell").select(
-        "key", "vector", "cell", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
+    right = indexed.join(counts, ["cell", "range"]).select(
+        "key", "vector", "cell", "range", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")
     )
-    scored = left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInPandas(
+    ranked = stage(_top(_scored(left, right, ["cell", "range", "block"], k), copies, k), "ranked")
+    # queries whose probes met too little
+    others = copies.select("key").distinct().count() - 1
+    met = ranked.groupBy("query_id").agg(F.count("*").alias("n")).withColumnRenamed("query_id", "key")
+    short = queries.join(met, "key", "left").where(F.coalesce("n", F.lit(0)) < min(k, others)).select("key", "vector")
+    short = stage(short, "short")
+    if short.isEmpty():
+        return ranked
+    blocks = -(-members.count() // BLOCK_ROWS)
+    left = short.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = members.select("*", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"))
+    exact = _top(_scored(left, right, ["block"], k), copies, k)
+    again = short.select(F.col("key").alias("query_id"))
+    return ranked.join(again, "query_id", "left_anti").unionByName(exact)
+
+
+def _scored(left: DataFrame, right: DataFrame, by: list[str], k: int) -> DataFrame:
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
         _nearest(k), "query bigint, member bigint, score double"
     )
-    return _top(scored, copies, k)
 
 
 def _top(scored: DataFrame, copies: DataFrame, k: int) -> DataFrame:

@@ -134,6 +134,35 @@ def test_recall_and_ties(spark):
     assert hits >= 0.9 * 20 * len(queries)
 
 
+def nearest(rows, query, k):
+    score = {i: float(np.dot(v, dict(rows)[query])) for i, v in rows if i != query}
+    return sorted(score, key=lambda i: (-score[i], i))[:k]
+
+
+@pytest.mark.parametrize("size", [2, 15, 21])
+def test_small_tables_give_all_candidates(spark, size):
+    x = np.random.default_rng(size).normal(size=(size, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = cross_polytope.search(frame, F.lit(True), k=20).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(q, i) for q in range(size) for i in nearest(rows, q, 20)]
+
+
+def test_long_vectors_do_not_hide_the_others(spark):
+    x = np.random.default_rng(4).normal(size=(600, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[1:600:200] *= 1e4
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {}
+    for row in cross_polytope.search(frame, F.col("key") % 20 == 0, k=20).collect():
+        found.setdefault(row["query_id"], set()).add(row["vec_id"])
+    queries = range(0, 600, 20)
+    assert all(len(found[q]) == 20 for q in queries)
+    hits = [len(found[q] & set(nearest(rows, q, 20))) for q in queries]
+    assert min(hits) > 5 and sum(hits) >= 0.8 * 20 * len(hits)
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert cross_polytope.search(frame, F.col("key") % 20 == 0).count() == 0
