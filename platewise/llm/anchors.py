@@ -3,7 +3,7 @@
 All windows of one length are grouped by their anchor: the place of the smallest gram hash in the first
 part of the window. The anchor depends on the window's content alone, so equal windows have equal
 grams at equal offsets, wherever they stand, and consecutive windows with one anchor form a block.
-Blocks are named by rows of four longs: the document's id, its place (a fingerprint of the text, the
+Blocks are named by rows of longs: the document's id and a 64-bit fingerprint of its text, its place (the
 number of windows, the first window's start), a gram or rank, and the hash of the block's content.
 """
 
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from platewise.llm.rolling import minima
 
-# place = fingerprint << 40 | (windows - 1) << 32 | start
-START_BITS, SPAN_BITS, PRINT_BITS = 32, 8, 23
+# place = (windows - 1) << 32 | start
+START_BITS, SPAN_BITS = 32, 8
 NO_ID = (1 << 63) - 1  # stands for a null id, after all others
 
 
@@ -29,7 +29,7 @@ def keyed(docs: DataFrame, key: str, text: str, carry: list[str]) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("id"),
-        F.xxhash64(body).bitwiseAND(F.lit((1 << PRINT_BITS) - 1)).alias("print"),
+        F.xxhash64(body).alias("print"),
         body.cast("binary").alias("text"),
         F.struct(*carry, F.lit(0).alias("_")).alias("carried"),
     )
@@ -39,18 +39,14 @@ def unkeyed(name: str) -> Column:
     return F.when(F.col("id") < NO_ID, F.col("id")).alias(name)
 
 
-def pack(prints: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return (np.int64(prints) << np.int64(START_BITS + SPAN_BITS)) | ((high - low) << np.int64(START_BITS)) | low
+def pack(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return ((high - low) << np.int64(START_BITS)) | low
 
 
 def start_of(place: Column) -> Column:
     return place.bitwiseAND(F.lit((1 << START_BITS) - 1))
 
 
-def print_of(place: Column) -> Column:
-    return F.shiftright(place, START_BITS + SPAN_BITS)
-
-
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = place & np.int64((1 << START_BITS) - 1)
     return low, low + ((place >> np.int64(START_BITS)) & np.int64((1 << SPAN_BITS) - 1))

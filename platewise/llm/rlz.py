@@ -35,7 +35,7 @@ GRAM = 5
 
 
 def _index(window: int, gram: int):
-    """(id, place, gram, block) of every block of a document."""
+    """(id, print, place, gram, block) of every block of a document."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         ids, prints = (batch.column(i).to_numpy() for i in (0, 1))
@@ -48,20 +48,21 @@ def _index(window: int, gram: int):
             grams = spans(sums, starts[: len(starts) - gram + 1], ends[gram - 1 :])
             anchor, low, high = anchors.blocks(grams, window - gram + 1)
             block = spans(sums, starts[low], ends[high + window - 1])
-            place = anchors.pack(prints[at], low, high)
-            yield np.full(len(low), ids[at]), place, grams[anchor].view(np.int64), block.view(np.int64)
+            place = anchors.pack(low, high)
+            own = np.full(len(low), ids[at]), np.full(len(low), prints[at])
+            yield *own, place, grams[anchor].view(np.int64), block.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from anchors.batches_of(["id", "place", "gram", "block"], (row for b in batches for row in rows(b)))
+        yield from anchors.batches_of(["id", "print", "place", "gram", "block"], (row for b in batches for row in rows(b)))
 
     return run
 
 
 def _windows(window: int):
-    """(id, place, start, w1, w2) of every window of the blocks listed with a text."""
+    """(id, print, place, start, w1, w2) of every window of the blocks listed with a text."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-        ids = batch.column(0).to_numpy()
+        ids, prints = (batch.column(i).to_numpy() for i in (0, 1))
         for at, (places,) in enumerate(anchors.lists(batch, ["place"])):
             data = b" ".join(anchors.plain(batch, at).split())
             starts, ends = word_bounds(data)
@@ -71,21 +72,22 @@ def _windows(window: int):
             a, b = starts[first], ends[first + window - 1]
             # the second hash is of the bytes reversed: two functions of one text
             w1, w2 = spans(prefixes(data), a, b), spans(prefixes(data[::-1]), len(data) - b, len(data) - a)
-            yield np.full(len(first), ids[at]), np.repeat(places, size), first, w1.view(np.int64), mix(w2).view(np.int64)
+            own = np.full(len(first), ids[at]), np.full(len(first), prints[at])
+            yield *own, np.repeat(places, size), first, w1.view(np.int64), mix(w2).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from anchors.batches_of(["id", "place", "start", "w1", "w2"], (row for b in batches for row in rows(b)))
+        yield from anchors.batches_of(["id", "print", "place", "start", "w1", "w2"], (row for b in batches for row in rows(b)))
 
     return run
 
 
 def matches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(id, print, low, high, ref, ref_low): windows low..high that start earlier at ref_low.. of ref."""
-    source = docs.mapInArrow(_index(window, gram), "id bigint, place bigint, gram bigint, block bigint")
+    source = docs.mapInArrow(_index(window, gram), "id bigint, print bigint, place bigint, gram bigint, block bigint")
     shared = source.groupBy("gram").count().where("count > 1").select("gram")
     blocks = stage(source.join(shared, "gram", "left_semi"), "blocks")
     start = anchors.start_of(F.col("place"))
-    first = F.min(F.struct("id", start.alias("start"), "place")).alias("first")
+    first = F.min(F.struct("id", start.alias("start"), "print", "place")).alias("first")
     contents = stage(blocks.groupBy("gram", "block").agg(first, F.count("*").alias("n")), "contents")
 
     again = contents.where("n > 1").select("gram", "block", "first")
@@ -95,7 +97,7 @@ def matches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     span = F.shiftright("place", anchors.START_BITS).bitwiseAND(F.lit((1 << anchors.SPAN_BITS) - 1))
     whole = later.select(
         "id",
-        anchors.print_of(F.col("place")).alias("print"),
+        "print",
         start.alias("low"),
         (start + span).alias("high"),
         F.col("first.id").alias("ref"),
@@ -103,16 +105,15 @@ def matches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     )
 
     several = contents.groupBy("gram").count().where("count > 1").select("gram")
-    unlike = contents.join(several, "gram", "left_semi").select("first.id", "first.place")
-    unlike = unlike.withColumn("print", anchors.print_of(F.col("place")))
+    unlike = contents.join(several, "gram", "left_semi").select("first.id", "first.print", "first.place")
     listed = anchors.texts_with(docs, unlike, ["place"], "inner")
     cut = stage(
-        listed.mapInArrow(_windows(window), "id bigint, place bigint, start bigint, w1 bigint, w2 bigint"), "windows"
+        listed.mapInArrow(_windows(window), "id bigint, print bigint, place bigint, start bigint, w1 bigint, w2 bigint"), "windows"
     )
     known = cut.groupBy("w1", "w2").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n"))
     single = cut.join(known.where("n > 1"), ["w1", "w2"]).where(F.struct("id", "start") > F.col("first")).select(
         "id",
-        anchors.print_of(F.col("place")).alias("print"),
+        "print",
         F.col("start").alias("low"),
         F.col("start").alias("high"),
         F.col("first.id").alias("ref"),

@@ -65,7 +65,7 @@ def _wordy(data: bytes, window: int, words: int) -> bool:
 
 
 def _index(window: int, gram: int, width: int, by_words: bool, words: int | None):
-    """(id, number, place, rounds, phrase, block) of every anchor; block is of windows, 0 if it has none."""
+    """(id, print, number, place, rounds, phrase, block) of every anchor; block is of windows, 0 if it has none."""
     reach = window - 2 * width - gram + 2  # anchors up to here after one belong to all windows through it
     if reach < width:
         raise ValueError("a window must hold three times the anchors' width and a gram")
@@ -91,12 +91,12 @@ def _index(window: int, gram: int, width: int, by_words: bool, words: int | None
             top = np.minimum(high, n - window)
             real = top >= low
             block = np.where(real, spans(sums, low, np.where(real, top + window, low)), 0).view(np.int64)
-            place = np.where(real, anchors.pack(prints[at], low, np.where(real, top, low)), -1 - np.int64(prints[at]))
-            number = (np.int64(prints[at]) << np.int64(40)) | np.flatnonzero(used)
-            yield np.full(len(low), ids[at]), number, place, rounds, phrase[used].view(np.int64), block
+            place = np.where(real, anchors.pack(low, np.where(real, top, low)), -1)
+            own = np.full(len(low), ids[at]), np.full(len(low), prints[at])
+            yield *own, np.flatnonzero(used), place, rounds, phrase[used].view(np.int64), block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "number", "place", "rounds", "phrase", "block"]
+        names = ["id", "print", "number", "place", "rounds", "phrase", "block"]
         yield from anchors.batches_of(names, (row for b in batches for row in rows(b)))
 
     return run
@@ -117,7 +117,7 @@ def ranked(keys: DataFrame, columns: list[str], name: str, label: str) -> DataFr
 
 
 def double(positions: DataFrame) -> DataFrame:
-    """Prefix doubling over (id, number, rounds, phrase, ...): the rows left, with their last rank."""
+    """Prefix doubling over (id, print, number, rounds, phrase, ...): the rows left, with their last rank."""
     repeated = positions.groupBy("phrase").count().where("count > 1").select("phrase")
     alive = positions.join(ranked(repeated, ["phrase"], "rank", "ranks-0"), "phrase").drop("phrase")
     alive, done, number = stage(alive, "round-0"), [], 0
@@ -128,9 +128,10 @@ def double(positions: DataFrame) -> DataFrame:
         going = alive.where(F.col("rounds") >= number)
         if going.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        other = alive.select("id", (F.col("number") - (1 << (number - 1))).alias("number"), F.col("rank").alias("rank2"))
-        # rows that are told apart by nothing else share id and number; any of them stands for the text
-        pairs = going.join(other.dropDuplicates(["id", "number"]), ["id", "number"])
+        other = alive.select("id", "print", (F.col("number") - (1 << (number - 1))).alias("number"), F.col("rank").alias("rank2"))
+        # rows of equal ids and texts share all three; any of them stands for the text
+        place = ["id", "print", "number"]
+        pairs = going.join(other.dropDuplicates(place), place)
         again = pairs.groupBy("rank", "rank2").count().where("count > 1").select("rank", "rank2")
         named = ranked(again, ["rank", "rank2"], "named", f"ranks-{number}")
         kept = pairs.join(named, ["rank", "rank2"]).drop("rank", "rank2").withColumnRenamed("named", "rank")
@@ -138,7 +139,7 @@ def double(positions: DataFrame) -> DataFrame:
 
 
 def _cores(window: int, gram: int, width: int, by_words: bool):
-    """(id, place, alone, part, core) of every part of the blocks listed with a text.
+    """(id, print, place, alone, part, core) of every part of the blocks listed with a text.
 
     A part has the windows whose anchors lie in the same few offsets; its core is what all windows with
     such an offset hold, also those that a block lacks.
@@ -147,7 +148,7 @@ def _cores(window: int, gram: int, width: int, by_words: bool):
     each = _part(width)
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-        ids = batch.column(0).to_numpy()
+        ids, prints = (batch.column(i).to_numpy() for i in (0, 1))
         for at, (places, alone) in enumerate(anchors.lists(batch, ["place", "alone"])):
             data = anchors.plain(batch, at)
             sums = _sums(data, by_words)
@@ -158,10 +159,10 @@ def _cores(window: int, gram: int, width: int, by_words: bool):
             part = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             at_anchor = np.repeat(anchor, size)
             core = spans(sums, at_anchor - part * each, at_anchor - part * each - (each - 1) + window)
-            yield np.full(len(part), ids[at]), np.repeat(places, size), np.repeat(alone, size), part, core.view(np.int64)
+            yield np.full(len(part), ids[at]), np.full(len(part), prints[at]), np.repeat(places, size), np.repeat(alone, size), part, core.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from anchors.batches_of(["id", "place", "alone", "part", "core"], (row for b in batches for row in rows(b)))
+        yield from anchors.batches_of(["id", "print", "place", "alone", "part", "core"], (row for b in batches for row in rows(b)))
 
     return run
 
@@ -173,11 +174,11 @@ def _anchors(sums: np.ndarray, low: np.ndarray, gram: int, width: int) -> np.nda
 
 
 def _windows(window: int, gram: int, width: int, by_words: bool):
-    """(id, place, start, w1, w2) of every window of the parts listed with a text."""
+    """(id, print, place, start, w1, w2) of every window of the parts listed with a text."""
     each = _part(width)
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-        ids = batch.column(0).to_numpy()
+        ids, prints = (batch.column(i).to_numpy() for i in (0, 1))
         for at, (places, part, alone) in enumerate(anchors.lists(batch, ["place", "part", "alone"])):
             data = anchors.plain(batch, at)
             sums = _sums(data, by_words)
@@ -190,10 +191,11 @@ def _windows(window: int, gram: int, width: int, by_words: bool):
             # the second hash is of the bytes reversed: two functions of one text
             back, n = reversed_word_sums(data) if by_words else prefixes(data[::-1]), len(sums) - 1
             w2 = mix(spans(back, n - first - window, n - first))
-            yield np.full(len(first), ids[at]), np.repeat(places, size), np.repeat(alone, size), first, w1.view(np.int64), w2.view(np.int64)
+            own = np.full(len(first), ids[at]), np.full(len(first), prints[at])
+            yield *own, np.repeat(places, size), np.repeat(alone, size), first, w1.view(np.int64), w2.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "place", "alone", "start", "w1", "w2"]
+        names = ["id", "print", "place", "alone", "start", "w1", "w2"]
         yield from anchors.batches_of(names, (row for b in batches for row in rows(b)))
 
     return run
@@ -211,37 +213,36 @@ def repeats(
 
     With ``words``, texts of which every window holds so many words are left out.
     """
-    schema = "id bigint, number bigint, place bigint, rounds bigint, phrase bigint, block bigint"
+    schema = "id bigint, print bigint, number bigint, place bigint, rounds bigint, phrase bigint, block bigint"
     left = double(docs.mapInArrow(_index(window, gram, width, by_words, words), schema)).where("place >= 0")
     group = ["rounds", "rank"]
-    contents = left.groupBy(*group, "block").agg(F.count("*").alias("n"), F.min(F.struct("id", "place")).alias("one"))
+    contents = left.groupBy(*group, "block").agg(F.count("*").alias("n"), F.min(F.struct("id", "print", "place")).alias("one"))
     contents = stage(contents, "contents")
     place = F.col("place")
     low = anchors.start_of(place)
     span = F.shiftright("place", anchors.START_BITS).bitwiseAND(F.lit((1 << anchors.SPAN_BITS) - 1))
     copied = contents.where("n > 1").select(*group, "block")
     whole = left.join(copied, [*group, "block"], "left_semi").select(
-        "id", anchors.print_of(place).alias("print"), low.alias("low"), (low + span).alias("high")
+        "id", "print", low.alias("low"), (low + span).alias("high")
     )
     several = contents.groupBy(*group).count().where("count > 1").select(*group)
     unlike = contents.join(several, group, "left_semi").select(
-        "one.id", "one.place", (F.col("n") == 1).cast("bigint").alias("alone")
+        "one.id", "one.print", "one.place", (F.col("n") == 1).cast("bigint").alias("alone")
     )
-    unlike = unlike.withColumn("print", anchors.print_of(place))
     listed = anchors.texts_with(docs, unlike, ["place", "alone"], "inner")
     parts = stage(
-        listed.mapInArrow(_cores(window, gram, width, by_words), "id bigint, place bigint, alone bigint, part bigint, core bigint"),
+        listed.mapInArrow(_cores(window, gram, width, by_words), "id bigint, print bigint, place bigint, alone bigint, part bigint, core bigint"),
         "parts",
     )
     # windows whose common core stands nowhere else cannot stand anywhere else
     again = parts.groupBy("core").count().where("count > 1").select("core")
-    near = parts.join(again, "core", "left_semi").withColumn("print", anchors.print_of(place))
+    near = parts.join(again, "core", "left_semi")
     compared = anchors.texts_with(docs, near, ["place", "part", "alone"], "inner")
-    schema = "id bigint, place bigint, alone bigint, start bigint, w1 bigint, w2 bigint"
+    schema = "id bigint, print bigint, place bigint, alone bigint, start bigint, w1 bigint, w2 bigint"
     cut = stage(compared.mapInArrow(_windows(window, gram, width, by_words), schema), "windows")
     known = cut.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     single = cut.where("alone = 1").join(known, ["w1", "w2"], "left_semi").select(
-        "id", anchors.print_of(place).alias("print"), F.col("start").alias("low"), F.col("start").alias("high")
+        "id", "print", F.col("start").alias("low"), F.col("start").alias("high")
     )
     return whole.unionByName(single)
 

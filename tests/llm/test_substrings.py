@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from platewise.llm import rlz, suffix_dedup
 
@@ -144,3 +145,18 @@ def test_long_words_keep_the_byte_window(spark, docs):
     rows = [(1, "p" * 5 + "xyz" * 400), (2, "q " + "xyz" * 400), (3, "a b c " * 20)]
     got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.dedup(docs(rows), words=51).collect()}
     assert got == {1: 1200, 2: 1200, 3: len("a b c " * 20) - 1}
+
+
+def test_texts_under_one_id_are_told_apart(spark, docs):
+    # two texts of unlike lengths whose fingerprints have the low 23 bits in common
+    p, q = (" ".join(f"{s}{n}x" for n in range(130)) for s in "pq")
+    pairs = spark.range(40_000).selectExpr(
+        f"CASE WHEN id % 2 = 0 THEN concat('{p} ', id) ELSE concat('{q} {q[::-1]} ', id) END AS t"
+    ).selectExpr("t", "xxhash64(t) & 8388607 AS h").groupBy("h").agg(F.collect_list("t").alias("t")).where("size(t) = 2")
+    a, b = next(sorted(r["t"], key=len) for r in pairs.orderBy("h").collect() if len(r["t"][0]) // 300 != len(r["t"][1]) // 300)
+    rows = [(None, a), (None, b), (1, p), (2, q[::-1] + " end")]
+    got = rlz.dedup(docs(rows), window=20).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(words_brute(rows, 20), key=repr)
+    got = suffix_dedup.dedup(docs(rows)).selectExpr("doc_id", "n_bytes", "n_removed", "size(spans)", "kept")
+    got = [(*row[:4], bytes(row[4])) for row in got.collect()]
+    assert sorted(got, key=repr) == sorted(bytes_brute(rows, suffix_dedup.WINDOW), key=repr)
