@@ -1,6 +1,8 @@
 """Operator 10: licence scans by the Dice coefficient over word bigrams.
 
-Every whole text and every line of it is a candidate. Candidates and templates are normalised alike:
+Every whole text and every line of it is a candidate, and so is every run of words that starts with a
+bigram of the template and is of about its length: a notice may be wrapped over lines or stand among
+other words. Runs are looked at only in texts that hold as many bigrams of the template as a match needs. Candidates and templates are normalised alike:
 lower case, anything but letters and digits becomes a blank. Two bigram sets of sizes a and b can
 reach a Dice coefficient t only if a and b differ by a factor of at most (2 - t) / t, so templates
 outside these bounds are never compared. All of it is one projection over a fixed template table.
@@ -56,15 +58,48 @@ def template_bigrams(text: str) -> list[str]:
 
 def bigrams(text: Column) -> Column:
     """Distinct word bigrams of a normalised text."""
+    return F.array_distinct(_in_order(text))
+
+
+def _in_order(text: Column) -> Column:
+    """All word bigrams of a normalised text, as they follow each other."""
     tokens = F.array_remove(F.split(F.lower(text), MARKS), "")
     return with_value(
         tokens,
-        lambda t: F.array_distinct(
-            F.transform(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.get(t, i), w))
-        ),
+        lambda t: F.transform(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.get(t, i), w)),
     )
 
 
+def _runs(text: Column, compared: list[tuple[str, list[str]]], dice: float) -> Column:
+    """Array of (score, license) of the templates that a run of words reaches, each with its best run."""
+    every = F.array(*map(F.lit, sorted({gram for _, grams in compared for gram in grams})))
+
+    def best(all_grams: Column, held: Column, name: str, grams: list[str]) -> Column:
+        # a match shares at least as many bigrams as the smallest set that can match has
+        need, most = max(1, _least(len(grams), dice)), _most(len(grams), dice)
+        wanted = F.array(*map(F.lit, grams))
+
+        def score(run: Column) -> Column:
+            unit = F.array_distinct(run)
+            return F.lit(2.0) * F.size(F.array_intersect(unit, wanted)) / (F.size(unit) + len(grams))
+
+        def longest(gram: Column, at: Column) -> Column:
+            reach = F.slice(all_grams, at + 1, most)
+            near = F.array_contains(wanted, gram) & (F.size(F.array_intersect(reach, wanted)) >= need)
+            sizes = F.sequence(F.lit(need), F.lit(most))
+            return F.when(near, F.array_max(F.transform(sizes, lambda n: score(F.slice(reach, F.lit(1), n)))))
+
+        top = F.array_max(F.transform(all_grams, longest))
+        pair = with_value(top, lambda x: F.when(x >= dice, F.struct(x.alias("score"), F.lit(name).alias("license"))))
+        return F.when(F.size(F.array_intersect(held, wanted)) >= need, pair)
+
+    def of(all_grams: Column) -> Column:
+        held = F.array_intersect(all_grams, every)
+        return with_value(held, lambda h: F.filter(F.array(*(best(all_grams, h, *one) for one in compared)), lambda x: x.isNotNull()))
+
+    return with_value(_in_order(text), of)
+
+
 def _matches(unit: Column, compared: list[tuple[str, list[str]]], dice: float) -> Column:
     """Array of (score, license) of the templates that reach ``dice`` for one candidate's bigrams."""
     scores = []
@@ -115,6 +150,7 @@ def scan(
     grams = F.transform(few, bigrams)
     fitting = F.filter(grams, lambda g: F.size(g).between(max(low, 1), high))
     found = F.flatten(F.transform(fitting, lambda g: with_value(g, lambda u: _matches(u, compared, dice))))
+    found = F.concat(found, _runs(body, compared, dice))
     hits = docs.select(key, found.alias("found"))
     best = F.element_at(
         F.array_sort("found", lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)

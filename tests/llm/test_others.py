@@ -261,3 +261,12 @@ def test_licenses(spark, docs):
     assert got[3] == (["MIT"], "MIT", 1.0) == got[4] and got[6][1] == "MIT-grant" and got[8][0][:1] == ["CC-BY-4.0"] and "MIT" in got[8][0]
     assert all(got[i] == ([], None, None) for i in (1, 2, 5, 7))
     assert licenses.scan(docs([])).count() == 0 and licenses.scan(docs([(1, "x")]), templates={}).count() == 1
+
+
+def test_licenses_in_runs_of_words(spark, docs):
+    prose = "one two three four five six seven eight nine ten"
+    rows = [(1, f"Copyright X. Released under the MIT License. See LICENSE for details. {prose}"),
+            (2, f"{prose}\nThis work is licensed under the GNU\nGeneral Public License,\nversion 3.\n{prose}"),
+            (3, f"{prose} released under a licence of MIT {prose}")]
+    got = {r["doc_id"]: (r["license"], r["score"]) for r in licenses.scan(docs(rows)).collect()}
+    assert got == {1: ("MIT", 1.0), 2: ("GPL-3.0", 1.0), 3: (None, None)}
