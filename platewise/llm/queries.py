@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bagminhash, chunk_table, cross_polytope, licenses, mixing, quality, rlz, suffix_dedup, toxicity, warc
+from platewise.llm import (
+    bagminhash,
+    chunk_table,
+    collocations,
+    cross_polytope,
+    licenses,
+    mixing,
+    quality,
+    rlz,
+    segment_search,
+    spelling,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from platewise.llm.common import table
 from platewise.session import configure, staged_path
 
@@ -272,3 +286,93 @@ SELECT doc_id, coalesce(licenses, '') AS licenses, best.l AS license, -best.s AS
 def op10_license_scan(spark, folder):
     found = licenses.scan(table(spark, folder, "documents", "doc_id", "text"))
     return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
+# ---------------------------------------------------------------- 11: spelling variants
+
+
+@query(
+    """WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), d AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents
+), o AS (SELECT id, w, count(*) AS n FROM d GROUP BY id, w HAVING length(w) >= 5
+), h AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, flatten([
+      CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END FOR x IN string_split(id || ':' || w, '')])),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM o, t
+), v AS (
+  SELECT CASE WHEN h % 97 = 0 THEN w[:CAST(h % length(w) AS BIGINT)] || w[CAST(h % length(w) AS BIGINT) + 2:] ELSE w END AS word, n FROM h
+), w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), x AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS less FROM w, unnest(range(1, length(word) + 1)) AS u(i)
+), p AS (
+  SELECT a.word, b.word AS near, b.n AS n_of FROM x AS a JOIN x AS b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT x.word, w.word, w.n FROM x JOIN w ON less = w.word
+  UNION SELECT w.word, x.word, x.n FROM x JOIN w ON less = w.word
+), f AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(s := -n_of, w := near)) AS best FROM p GROUP BY word
+), g AS (
+  SELECT w.word, CASE WHEN -best.s >= 2 * n THEN best.w END AS form, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN -best.s >= 2 * n THEN -best.s END AS form_n FROM w LEFT JOIN f ON w.word = f.word
+), r AS (
+  SELECT word, form AS at FROM g WHERE form IS NOT NULL
+  UNION SELECT r.word, g.form FROM r JOIN g ON r.at = g.word WHERE g.form IS NOT NULL
+), e AS (SELECT r.word, r.at FROM r JOIN g ON r.at = g.word WHERE g.form IS NULL
+)
+SELECT g.word, form, coalesce(e.at, g.word) AS root, n, n_near, form_n FROM g LEFT JOIN e ON g.word = e.word"""
+)
+def op11_spelling_variants(spark, folder):
+    return spelling.group(table(spark, folder, "documents", "doc_id", "text"))
+
+
+# ---------------------------------------------------------------- 12: collocations
+
+
+@query(
+    """WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), q AS (
+  SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS w FROM (
+    SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)
+), g AS (
+  SELECT lang, k, w[i:i + k - 1] AS p FROM q, unnest(range(1, 4)) AS s(k), unnest(range(1, len(w) + 1)) AS u(i) WHERE i + k - 1 <= len(w)
+), f AS (SELECT lang, k, p, count(*) AS c FROM g GROUP BY lang, k, p HAVING count(*) >= 10
+), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM q GROUP BY lang
+), c AS (
+  SELECT f.lang, f.k, f.p, f.c AS a, h AS cut, x.c AS l, y.c AS r,
+         CAST(1000000::HUGEINT * f.c * f.c // (x.c::HUGEINT * y.c) AS BIGINT) AS score
+  FROM f, unnest(range(1, f.k)) AS s(h) JOIN f AS x ON x.lang = f.lang AND x.p = f.p[:h] JOIN f AS y ON y.lang = f.lang AND y.p = f.p[h + 1:]
+  WHERE f.k > 1
+), b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), o AS (
+  SELECT lang, p[:2] AS p, c FROM f WHERE k = 3 UNION ALL SELECT lang, p[2:], c FROM f WHERE k = 3
+), s AS (SELECT lang, p, max(c) AS c FROM o GROUP BY lang, p
+), z AS (
+  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, score FROM b LEFT JOIN s ON b.lang = s.lang AND b.p = s.p
+  WHERE 100 * coalesce(s.c, 0) < 50 * a
+)
+SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM z JOIN n ON z.lang = n.lang QUALIFY rank <= 2000"""
+)
+def op12_collocations(spark, folder):
+    return collocations.mine(table(spark, folder, "documents", "text", "lang"))
+
+
+# ---------------------------------------------------------------- 13: exact top-k
+
+
+@query(
+    """WITH e AS (
+  SELECT vec_id, min(embedding) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id
+), v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN e] AS v FROM e
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum([x * a.v[i] FOR x, i IN b.v]) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+)
+def op13_segment_search(spark, folder):
+    return segment_search.search(table(spark, folder, "embeddings", "vec_id", "embedding"), F.col("key") % 50 == 0)
