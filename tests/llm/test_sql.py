@@ -29,5 +29,5 @@ def test_one_query_for_each_operator_and_the_pipeline():
     import __spark_entry__ as contract
 
     names = set(contract.queries())
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names

@@ -1,0 +1,278 @@
+"""Operators 11 to 13 against brute force on small cases."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from platewise.llm import collocations, segment_search, spelling
+
+# ---------------------------------------------------------------- 11: spelling variants
+
+
+def plain_words(rows):
+    counts = Counter()
+    for key, text in rows:
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for run in re.findall("[a-zÀ-ÿ]+", low):
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {word: n for word, n in counts.items() if len(word) >= 5 and n >= 3}
+
+
+def near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if abs(len(a) - len(b)) != 1:
+        return False
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def plain_groups(rows):
+    words = plain_words(rows)
+    form, out = {}, {}
+    around = {w: [v for v in words if near(w, v)] for w in words}
+    for w in words:
+        best = min(around[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, words[w], len(around[w]), words[form[w]] if form[w] else None)
+    return out
+
+
+def edited(chance, word, letters):
+    at, kind = chance.randrange(len(word) + 1), chance.randrange(3)
+    if kind == 0 or at == len(word):
+        return word[:at] + chance.choice(letters) + word[at:]
+    return word[:at] + (chance.choice(letters) if kind == 1 else "") + word[at + 1 :]
+
+
+def some_words(chance, count, letters="abcàÿ"):
+    words = ["".join(chance.choices(letters, k=chance.randint(5, 16))) for _ in range(count)]
+    return words + [edited(chance, chance.choice(words), letters) for _ in range(count)]
+
+
+def known_grams(words, frequent):
+    """A dictionary by its definition."""
+    counts = Counter()
+    for word in words:
+        points, _ = spelling.numbers_of([word])
+        for size in range(spelling.SHORTEST, spelling.LONGEST + 1):
+            for gram in spelling.grams(points, size).tolist():
+                counts[size, gram] += 1
+    rows = [(s, g, n) for (s, g), n in counts.items() if s == 2 or (counts[s - 1, g >> 7] > frequent and n >= 2)]
+    return spelling.Dictionary(*(np.array(column, np.int64) for column in zip(*rows)))
+
+
+@pytest.mark.parametrize("frequent", [1, 4, 40, 10_000])
+def test_near_words_always_share_a_first_list(frequent):
+    chance = random.Random(frequent)
+    words = some_words(chance, 400)
+    known = known_grams(words, frequent)
+
+    def lists(word, class_, longer):
+        points, starts = spelling.numbers_of([word])
+        _, gram, place = spelling.first_lists(points, starts, known, spelling.longest_gram(class_))
+        return {(g, p - back) for g, p in zip(gram.tolist(), place.tolist()) for back in ([0, 1] if longer else [0])}
+
+    for word in words:
+        other = edited(chance, word, "abcàÿ")
+        if other == word or min(len(other), len(word)) < 5:
+            continue
+        short, long = sorted((word, other), key=len)
+        class_ = len(short)
+        assert lists(short, class_, False) & lists(long, class_, len(long) > class_), (word, other)
+
+
+def test_groups_equal_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(spelling, "LEAST_FREQUENT", 5)
+    chance = random.Random(3)
+    words = some_words(chance, 250)
+    rows = []
+    for i in range(150):
+        text = " ".join(w.upper() if chance.random() < 0.2 else w for w in chance.choices(words, [1 / (1 + j) for j in range(len(words))], k=80))
+        rows.append((i % 140 if i % 9 else None, text + " short x9y8z7 Ça-et-là ×÷"))
+    rows += [(900, None), (901, ""), (902, "bcabc" * 3000 + " " + " ".join(["abcabc"] * 2000)), rows[0], rows[0]]
+    rows += [(903, "bcabc" * 3000), (904, "bcabc" * 3000), (905, "bcabc" * 3000 + "a"), (906, "bcabc" * 3000 + "a"), (907, "bcabc" * 3000 + "a")]
+    got = {
+        r["word"]: (r["form"], r["root"], r["n"], r["n_near"], r["form_n"])
+        for r in spelling.group(docs(rows)).collect()
+    }
+    expected = plain_groups(rows)
+    assert got == expected
+    assert sum(form is not None for form, *_ in expected.values()) > 20
+    assert any(len(word) > 10_000 for word in expected)
+
+
+def test_no_words(spark, docs):
+    assert spelling.group(docs([(1, "a bc def"), (2, None)])).count() == 0
+    assert spelling.group(docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_long_chains_of_forms(spark):
+    forms = spark.createDataFrame([(f"w{i:03d}", f"w{i + 1:03d}") for i in range(40)], "word string, form string")
+    assert {r["root"] for r in spelling.roots(forms).collect()} == {"w040"}
+
+
+# ---------------------------------------------------------------- 12: collocations
+
+
+def plain_phrases(rows, keep):
+    counts, sizes = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = lang or "und"
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\\x0A-\\x0D]", low):
+            words = re.findall("[^\\x20\\x09]+", piece)
+            sizes[lang] += len(words)
+            for k in (1, 2, 3):
+                counts[lang].update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    out = {}
+    for lang, f in counts.items():
+        found = []
+        for phrase, a in f.items():
+            if len(phrase) == 1 or a < 10:
+                continue
+            cuts = [(10**6 * a * a // (f[phrase[:k]] * f[phrase[k:]]), k) for k in range(1, len(phrase))]
+            score, k = min(cuts)
+            if not any(len(p) > len(phrase) and phrase in (p[:2], p[1:]) and c >= 10 and 2 * c >= a for p, c in f.items()):
+                found.append((-score, -a, " ".join(phrase).encode(), f[phrase[:k]], f[phrase[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:keep], 1):
+            out[lang, rank] = (phrase.decode(), -a, left, right, sizes[lang], -score)
+    return out
+
+
+@pytest.mark.parametrize("keep", [3, 40, 2000])
+def test_phrases_equal_brute_force(spark, keep):
+    chance = random.Random(keep)
+    rows = []
+    for lang in ("en", "fr", None, "und", "rare"):
+        common, names = [f"w{i}" for i in range(12)], [f"N{i}É" for i in range(30)]
+        for _ in range(4 if lang == "rare" else 60):
+            words = []
+            while len(words) < 60:
+                i = chance.randrange(30)
+                words += chance.choice([[names[i], "of", names[-i]], [names[i], names[i - 1]], [chance.choice(common)], [chance.choice(common)]])
+                words[-1] += chance.choice(["", "", "", ".", "\n", " \t", ";", "\r\n"])
+            rows.append((" ".join(words), lang))
+    rows += [(None, "en"), ("", "en"), (rows[0][0], "en"), (rows[0][0], "en"), ("!!", "empty"), ("z " * 30_000, "long")]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    for name in ("h", "h1", "f", "a", "n", "word", "phrase", "score"):
+        frame = frame.selectExpr("*", f"'x' AS `{name}`")
+    got = {
+        (r["lang"], r["rank"]): (r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"])
+        for r in collocations.mine(frame, keep=keep).collect()
+    }
+    expected = plain_phrases(rows, keep)
+    assert got == expected
+    assert {lang for lang, _ in expected} >= {"en", "fr", "und"}
+
+
+def test_no_phrases(spark):
+    frame = spark.createDataFrame([("a b c", "en"), (None, None)], "text string, lang string")
+    assert collocations.mine(frame).count() == 0
+    assert collocations.mine(frame.limit(0)).count() == 0
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    big = 9_876_543_210_987
+    rows = spark.createDataFrame([(big, big + 1, big + 2), (big, big, big)], "a bigint, l bigint, r bigint")
+    got = [r[0] for r in rows.select(collocations._score("l", "r")).collect()]
+    assert got == [10**6 * big * big // ((big + 1) * (big + 2)), 10**6]
+
+
+def test_flags_hold_every_pair(spark):
+    chance = np.random.default_rng(5)
+    u, v = chance.integers(-(1 << 63), 1 << 63, (2, 3000), dtype=np.int64)
+    pairs = spark.createDataFrame([(int(a), int(b)) for a, b in zip(u, v)], "u bigint, v bigint")
+    bits = collocations.flags(pairs)
+    assert collocations.flagged(bits, collocations.pair_key(u, v)).all()
+    assert collocations.flagged(bits, collocations.pair_key(v, u)).mean() < 0.01
+
+
+# ---------------------------------------------------------------- 13: exact top-k search
+
+VECTORS = "vec_id bigint, embedding array<float>, key string, cell int, stats string"
+
+
+def plain_search(rows, every, k):
+    best = {}
+    for key, vector in rows:
+        fine = key is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+        if fine and (key not in best or vector < best[key]):
+            best[key] = vector
+    whole = {key: [math.floor(256 * x) if abs(x) < 2**50 else 256 * int(x) for x in v] for key, v in best.items()}
+    out = set()
+    for q, a in whole.items():
+        if q % every == 0:
+            scores = []
+            for key, b in whole.items():
+                if key != q and len(a) == len(b):
+                    score = sum(x * y for x, y in zip(a, b))
+                    scores.append((-min(max(score, -(1 << 63)), (1 << 63) - 1), key))
+            out |= {(q, rank, key, -score) for rank, (score, key) in enumerate(sorted(scores)[:k], 1)}
+    return out
+
+
+def found(spark, rows, every=5, k=5):
+    frame = spark.createDataFrame([(i, v, "x", 1, "y") for i, v in rows], VECTORS)
+    return {tuple(r) for r in segment_search.search(frame, F.col("key") % every == 0, k).collect()}
+
+
+def float32(rows):
+    return [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+
+
+@pytest.mark.parametrize("kind", ["around centres", "all ways", "equal", "positive"])
+def test_search_equals_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(segment_search, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(segment_search, "QUERY_ROWS", 16)
+    chance = np.random.default_rng(7)
+    x = chance.normal(size=(400, 24)) * 0.2
+    if kind == "around centres":
+        x = np.repeat(chance.normal(size=(8, 24)), 50, axis=0) + 0.05 * x
+    if kind == "equal":
+        x = np.repeat(x[:20], 20, axis=0)
+    if kind == "positive":
+        x = np.abs(x) * chance.lognormal(size=(400, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(1000, None), (1005, [0.0] * 24), (1010, [float("nan")] * 24), (1015, [None, *[1.0] * 23]), (None, [1.0] * 24)]
+    rows += [(1020, [1.0, 2.0, 3.0]), (1021, [0.5, -1.0, 2.0]), (1025, []), (1026, []), rows[0], rows[0], (5, [0.1] * 24)]
+    rows = float32(rows + [(1030, [float("inf")] * 24)])
+    assert found(spark, rows) == plain_search(rows, 5, 5)
+
+
+def test_few_vectors_and_none(spark):
+    rows = float32([(i, [float(i), 1.0]) for i in range(4)])
+    got = found(spark, rows, every=1)
+    assert got == plain_search(rows, 1, 5) and len(got) == 12
+    assert found(spark, [(0, None)]) == set()
+    assert found(spark, float32([(0, [1.0, 1.0])])) == set()
+
+
+def test_scores_beyond_64_bits(spark):
+    rows = float32([(i, [(-1.0) ** i * 2.0 ** (10 * i), 1.0, 0.3]) for i in range(12)])
+    assert found(spark, rows, every=1) == plain_search(rows, 1, 5)
+
+
+def test_bounds_hold_and_tighten():
+    chance = np.random.default_rng(1)
+    x, y = chance.normal(size=(50, 30)), chance.normal(size=(60, 30))
+    exact = x @ y.T
+    before = np.full(exact.shape, np.inf)
+    for segments in segment_search.LEVELS:
+        bound = segment_search.statistics(x, segments) @ segment_search.statistics(y, segments).T
+        assert (bound >= exact - 1e-9).all()
+        assert bound.mean() < before.mean()
+        before = bound
