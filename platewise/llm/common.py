@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.session import stage
@@ -33,7 +33,7 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
     ever gathers its neighbours in one row, and the number of rounds grows with the logarithm of the
     longest chain. Every round is staged, so a lost executor costs one round.
     """
-    edges = stage(_down(links.where("a <> b")), f"{label}-0")
+    edges, known = _noted(_down(links.where("a <> b")), f"{label}-0")
     number = 0
     while True:
         number += 1
@@ -47,18 +47,22 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
         small = near.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             low.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
-        after = stage(_down(small.where("a <> b")), f"{label}-s{number}")
-        same = [
-            x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (edges, after)
-        ]
-        edges = after
-        if same[0] == same[1]:
+        before = known
+        edges, known = _noted(_down(small.where("a <> b")), f"{label}-s{number}")
+        if before == known:
             break
     # at the fixed point every edge leads straight to the root
     roots = edges.select(F.col("v").alias("id")).distinct().withColumn("root", F.col("id"))
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _noted(edges: DataFrame, label: str) -> tuple[DataFrame, dict]:
+    """The staged edges, and their number and a sum of their hashes, observed while they are written."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("total")
+    return stage(edges.observe(seen, F.count("*").alias("edges"), total), label), seen.get
+
+
 def _down(pairs: DataFrame) -> DataFrame:
     """Distinct edges from the larger id u to the smaller id v."""
     return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()

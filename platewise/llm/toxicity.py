@@ -34,7 +34,7 @@ LEAST_CHI2 = 10.0
 MOST_WORDS = 4096
 STEMS = (4, 5)  # letters
 FOLDS = 5
-PARTS = 6  # of the sample: a fit has many small rounds
+PARTS = 4  # of the sample: a round of a fit is then one stage
 THRESHOLD = 0.5
 
 
