@@ -40,6 +40,9 @@ def _parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("clean", help="cleaned table and split files")
     job.add_argument("--splits")
+    job.add_argument("--keep-ids", action="store_true", help="users and meals keep the ids of the last run")
+    job.add_argument("--exact", action="store_true", help="split files of exactly their shares")
+    job.add_argument("--buckets", type=int, help="buckets of the cleaned table, by user")
 
     job = jobs.add_parser("matrix", help="user x meal matrix as a table")
     job.add_argument("--wide", action="store_true", help="one column per meal, for short meal lists")
@@ -72,7 +75,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--regularisation", type=float, default=als.REGULARISATION)
     job.add_argument("--user-blocks", type=int, default=als.USER_BLOCKS)
     job.add_argument("--meal-blocks", type=int, default=als.MEAL_BLOCKS)
-    job.add_argument("--exclude-seen", action="store_true", help="drop meals that the user has rated")
+    job.add_argument("--solver", choices=["blocks", "sums"], default="blocks", help="sums splits hot meals and users")
+    job.add_argument("--exclude-seen", action="store_true", help="list only meals that the user has not rated")
     job.add_argument("--seed", type=int, default=1)
     return parser
 
@@ -92,7 +96,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         meals = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
         explore.write_reports(ratings, meals, args.out, args.form, args.mode, args.single_file)
     elif args.job == "clean":
-        clean.run(spark, args.splits, args.database).show()
+        clean.run(spark, args.splits, args.database, args.keep_ids, args.exact, args.buckets).show()
     elif args.job == "matrix":
         topics.save_matrix(spark, args.wide, args.min_avg_rating, args.database)
     elif args.job == "names":
@@ -108,10 +112,10 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, args.k, args.iterations, args.seed, args.database, args.from_matrix, args.parallelism, args.partitions
         ).show()
     elif args.job == "factors":
+        blocks = {"user_blocks": args.user_blocks, "meal_blocks": args.meal_blocks} if args.solver == "blocks" else {}
         factors.run(
-            spark, args.n, args.seed, args.database, args.exclude_seen, rank=args.rank, max_iter=args.max_iter,
-            alpha=args.alpha, regularisation=args.regularisation, user_blocks=args.user_blocks,
-            meal_blocks=args.meal_blocks,
+            spark, args.n, args.seed, args.database, args.exclude_seen, args.solver, rank=args.rank,
+            max_iter=args.max_iter, alpha=args.alpha, regularisation=args.regularisation, **blocks,
         ).show()
 
 

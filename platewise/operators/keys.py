@@ -44,6 +44,19 @@ def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
     return stage(numbered, f"{key}-index")
 
 
+def extend_index(known: DataFrame, df: DataFrame, key: str, index: str) -> DataFrame:
+    """(key, index) of the keys of ``df`` that ``known`` lacks, numbered on behind its largest id.
+
+    ``known`` is an earlier (key, index), as ``dense_index`` and this function make them. Appended to it,
+    the result keeps all earlier ids and stays dense, however often and with whatever keys it is extended.
+    The new keys are found by an anti-join of the distinct keys; only the largest id visits the plan as a number.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    fresh = dense_index(keys.join(known.select(key), key, "left_anti"), key, index)
+    behind = known.agg(F.coalesce(F.max(index) + 1, F.lit(0))).scalar()
+    return fresh.select(key, (F.col(index) + behind).alias(index))
+
+
 def encode(latest: DataFrame, user_index: DataFrame, meal_index: DataFrame, meals: DataFrame) -> DataFrame:
     """Attach both ids and the meal's attributes; ratings of unlisted meals drop out.
 

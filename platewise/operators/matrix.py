@@ -14,6 +14,9 @@ from platewise.functions.columns import sparse_fields
 from platewise.operators.keys import dense_index
 from platewise.session import stage
 
+# Users and meals of a tile.
+TILE_USERS, TILE_MEALS = 1024, 1024
+
 
 def average_ratings(cleaned: DataFrame, min_avg_rating: float | None = None) -> DataFrame:
     """Average rating per meal, optionally only meals whose average is above a bound."""
@@ -75,13 +78,12 @@ def meal_positions(cells: DataFrame) -> DataFrame:
     return dense_index(cells, "MealID", "Index")
 
 
-def user_vectors(cells: DataFrame, positions: DataFrame) -> DataFrame:
-    """(UserID, features): each user's ratings as a sparse vector over all meals.
+def vector_rows(cells: DataFrame, positions: DataFrame) -> DataFrame:
+    """(UserID, features): each user's ratings in the stored form of a sparse vector over all meals.
 
     A (user, meal) pair occurs once in ``cells``, so a row never outgrows the number of meals.
     The vector size is read from the positions inside the plan; no meal list visits the driver.
-    Ratings may be fractional; unrated and 0 are the same to the vector. The vectors are staged: their
-    stored form is a plain struct, and reading it back under the vector type makes it a vector.
+    Ratings may be fractional; unrated and 0 are the same to the vector.
     """
     size = positions.agg(F.count("*")).scalar()
     cell = F.struct(F.col("Index").cast("int").alias("Index"), "Rating")
@@ -91,8 +93,88 @@ def user_vectors(cells: DataFrame, positions: DataFrame) -> DataFrame:
         .groupBy("UserID")
         .agg(F.sort_array(F.collect_list(cell)).alias("cells"))
     )
-    stored = per_user.select(
+    return per_user.select(
         "UserID", sparse_fields(size, F.col("cells.Index"), F.col("cells.Rating")).alias("features")
     )
+
+
+def user_vectors(cells: DataFrame, positions: DataFrame) -> DataFrame:
+    """(UserID, features): each user's ratings as a sparse vector over all meals.
+
+    ``vector_rows`` staged: their stored form is a plain struct, and reading it back under the vector type
+    makes it a vector.
+    """
+    stored = vector_rows(cells, positions)
     kinds = T.StructType([stored.schema["UserID"], T.StructField("features", VectorUDT())])
     return stage(stored, "features", kinds)
+
+
+# ---------------------------------------------------------------- tiles
+
+
+def tiles(
+    cells: DataFrame,
+    users: DataFrame,
+    positions: DataFrame,
+    rows: int = TILE_USERS,
+    columns: int = TILE_MEALS,
+) -> DataFrame:
+    """(tile_row, tile_column, UserID, offset, columns, ratings): the matrix cut into tiles of users x meals.
+
+    ``users`` is (UserID, UserIndex), ``positions`` (MealID, Index). A row holds one user's ratings in one
+    tile: the user's place in the tile, the meals' places and the ratings, so no row outgrows a tile's width.
+    Tiles without a rating have no rows. Rows are sorted by tile, so that what reads a tile, or a range of
+    them, skips the rest of the files by their statistics.
+    """
+    placed = cells.filter(F.col("Rating").isNotNull()).join(positions, "MealID").join(users, "UserID")
+    cell = F.struct(F.pmod("Index", F.lit(columns)).cast("int").alias("column"), "Rating")
+    packed = placed.groupBy(
+        F.floor(F.col("UserIndex") / rows).cast("int").alias("tile_row"),
+        F.floor(F.col("Index") / columns).cast("int").alias("tile_column"),
+        "UserID",
+        F.pmod("UserIndex", F.lit(rows)).cast("int").alias("offset"),
+    ).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    order = ["tile_row", "tile_column", "offset"]
+    return (
+        packed.select("tile_row", "tile_column", "UserID", "offset", F.col("cells.column").alias("columns"), F.col("cells.Rating").alias("ratings"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+    )
+
+
+def read_tiles(tiled: DataFrame, tile_rows: Sequence[int], tile_columns: Sequence[int]) -> DataFrame:
+    """The tiles in a rectangle of first and last tile row, first and last tile column."""
+    return tiled.where(F.col("tile_row").between(*tile_rows) & F.col("tile_column").between(*tile_columns))
+
+
+def tile_summary(tiled: DataFrame) -> DataFrame:
+    """(tile_row, tile_column, users, ratings, total) of every tile that has ratings."""
+    points = F.aggregate("ratings", F.lit(0.0), lambda total, rating: total + rating)
+    return tiled.groupBy("tile_row", "tile_column").agg(
+        F.count("*").alias("users"), F.sum(F.size("ratings")).alias("ratings"), F.sum(points).alias("total")
+    )
+
+
+def wide_from_tiles(tiled: DataFrame, names: Sequence[str], columns: int = TILE_MEALS) -> DataFrame:
+    """One row per user and one column per name, 0 where unrated, put together from the user's tiles.
+
+    ``names`` are the meals in the order of their index. Unlike a pivot this aggregates one map of
+    a user's ratings and not a column at a time, so its plan does not grow with the columns.
+    """
+    place = F.transform("columns", lambda column: column + F.col("tile_column") * columns)
+    entries = F.collect_list(F.map_from_arrays(place, F.col("ratings"))).alias("parts")
+    rated = tiled.groupBy("UserID").agg(entries)
+    # a user's tiles hold different places: all entries make one map
+    whole = F.map_from_entries(F.flatten(F.transform("parts", F.map_entries))).alias("rated")
+    full = rated.select("UserID", whole)
+    dense = F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda i: F.coalesce(F.try_element_at("rated", i), F.lit(0.0)))
+    full = full.select("UserID", dense.alias("row"))
+    return full.select("UserID", *(F.col("row")[i].alias(name) for i, name in enumerate(names)))
+
+
+def named_cells(wide: DataFrame) -> DataFrame:
+    """(UserID, cells): a wide row as one text of ``meal=rating``, in the order of the columns."""
+    names = feature_columns(wide)
+    labels = F.array(*(F.lit(f"{name}=") for name in names))
+    values = F.array(*(F.col(f"`{name}`").cast("string") for name in names))
+    return wide.select("UserID", F.array_join(F.zip_with(labels, values, lambda label, value: F.concat(label, value)), ",").alias("cells"))

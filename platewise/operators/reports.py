@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.functions.columns import percent
@@ -131,3 +131,8 @@ def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
         for stage, frame in stages.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def counted_rows(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The same rows from counts taken while the frames were written."""
+    return spark.createDataFrame(list(counts.items()), "stage string, rows bigint")

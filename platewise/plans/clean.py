@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from platewise import schemas
 from platewise.operators import keys, repeats, reports, splits
-from platewise.session import stage_by
+from platewise.session import counting, stage_by
 from platewise.sources import catalog
 from platewise.sources.files import write_json
 
@@ -23,16 +23,48 @@ def clean(ratings: DataFrame, meals: DataFrame) -> DataFrame:
     return keys.encode(repeats.latest_ratings(ratings), users, meal_index, meals)
 
 
-def run(spark: SparkSession, split_folder: str | None = None, database: str = schemas.DATABASE) -> DataFrame:
-    """Save the cleaned table, write the split files and return the row counts per stage."""
+def indexes(ratings: DataFrame, keep_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """(user ids, meal ids) as saved tables; with ``keep_ids`` earlier ids stay and new keys get the next ones."""
+    spark, found = ratings.sparkSession, []
+    for key, index, table in (("UserID", "UserIndex", schemas.USER_IDS), ("MealID", "MealIndex", schemas.MEAL_IDS)):
+        if keep_ids and spark.catalog.tableExists(table):
+            fresh = keys.extend_index(catalog.read_table(spark, table), ratings, key, index)
+            found.append(catalog.save_table(fresh, table, mode="append"))
+        else:
+            found.append(catalog.save_table(keys.dense_index(ratings, key, index), table))
+    return found[0], found[1]
+
+
+def run(
+    spark: SparkSession,
+    split_folder: str | None = None,
+    database: str = schemas.DATABASE,
+    keep_ids: bool = False,
+    exact: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Save the cleaned table, write the split files and return the row counts per stage.
+
+    ``keep_ids`` takes up the ids of the run before: users and meals keep theirs, new ones follow.
+    ``exact`` gives the split files exactly their shares of the rows. ``buckets`` saves the cleaned table in
+    so many buckets by user. The counts come from the writes.
+    """
     catalog.use_database(spark, database)
     ratings = catalog.read_table(spark, schemas.MEAL_RATING)
     meals = catalog.read_table(spark, schemas.MEAL_LIST_TABLE)
-    cleaned = catalog.save_table(clean(ratings, meals), schemas.CLEANED)
+    users, meal_index = indexes(ratings, keep_ids)
+    result = keys.encode(repeats.latest_ratings(ratings), users, meal_index, meals)
+    if buckets:
+        cleaned = catalog.save_bucketed(result, schemas.CLEANED, "UserID", buckets)
+    else:
+        cleaned = catalog.save_table(result, schemas.CLEANED)
+    assign = splits.split_exactly if exact else splits.assign_parts
     # the part is named once, and each file then reads its own folder only
-    named = stage_by(splits.assign_parts(cleaned), "part", "parts")
+    watched, seen = counting(assign(cleaned), **{name: F.count_if(F.col("part") == name) for name in splits.SHARES})
+    named = stage_by(watched, "part", "parts")
     if split_folder:
         for name in splits.SHARES:
             write_json(named.where(F.col("part") == name).drop("part"), f"{split_folder}/{name}data.json")
-    counts = reports.row_counts({"ratings": ratings, "cleaned": cleaned})
-    return counts.unionByName(named.groupBy(F.col("part").alias("stage")).agg(F.count("*").alias("rows")))
+    parts = dict(seen.get)
+    counts = reports.counted_rows(spark, {"cleaned": parts.pop("rows")} | parts)
+    return reports.row_counts({"ratings": ratings}).unionByName(counts)

@@ -38,8 +38,8 @@ def load(
     counts = {}
     for df, lines, (_, schema, table, bad_table) in zip(read, bad, inputs):
         good = df if lines is None else df.where(f"{schemas.CORRUPT} IS NULL")
-        counts[table] = catalog.save_table(good.select(schema.fieldNames()), table)
+        counts[table] = catalog.save_counted(good.select(schema.fieldNames()), table)[1]
         if lines is None:
             lines = spark.createDataFrame([], f"{schemas.CORRUPT} string")
-        counts[bad_table] = catalog.save_table(lines.select(schemas.CORRUPT), bad_table)
-    return reports.row_counts(counts)
+        counts[bad_table] = catalog.save_counted(lines.select(schemas.CORRUPT), bad_table)[1]
+    return reports.counted_rows(spark, {table: seen["rows"] for table, seen in counts.items()})

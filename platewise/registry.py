@@ -10,12 +10,12 @@ from collections.abc import Callable
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platewise import schemas
 from platewise.functions.columns import vector_fields
-from platewise.operators import als, keys, lda, lists, matrix, repeats, reports, splits
+from platewise.operators import als, als_sums, keys, lda, lda_rows, lists, matrix, repeats, reports, splits, topn
 from platewise.plans import clean, factors, load, topics
 from platewise.session import configure, in_fixed_order, stage, staged_path
 from platewise.sources import catalog, files, order_tables
@@ -116,10 +116,6 @@ FITTED = (
 )"""
 )
 
-# A column per meal of the cleaned table, 0 where a user has not rated it.
-WIDE = """ SELECT UserID, coalesce(COLUMNS(* EXCLUDE UserID), 0) FROM (
-  PIVOT (SELECT UserID, MealID, Rating FROM cleaned) ON MealID USING first(Rating) GROUP BY UserID)"""
-
 SHARE_SQL = (
     R
     + """ SELECT Rating, count(Rating) AS sum,
@@ -272,6 +268,26 @@ def encoded_ratings(ratings, meals):
     return clean.clean(ratings, meals)
 
 
+# Ratings up to this time are the first load, in epoch seconds.
+FIRST_LOAD = 800_000_000
+
+
+@query(
+    R
+    + f""", a AS (SELECT UserID, row_number() OVER (ORDER BY UserID) - 1 AS UserIndex FROM (
+  SELECT DISTINCT UserID FROM r WHERE ReviewTime < {FIRST_LOAD})
+), b AS (SELECT UserID, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY UserID) - 1 AS UserIndex FROM (
+  SELECT DISTINCT UserID FROM r WHERE UserID NOT IN (SELECT UserID FROM a)))
+  SELECT UserID, UserIndex, TRUE AS first_load FROM a UNION ALL SELECT UserID, UserIndex, FALSE FROM b""",
+    staged=True,
+)
+def user_index_extended(ratings, meals):
+    """Ids of a first load, and of the users that a second load brings."""
+    first = keys.dense_index(ratings.where(F.col("ReviewTime") < FIRST_LOAD), "UserID", "UserIndex")
+    second = keys.extend_index(first, ratings, "UserID", "UserIndex")
+    return first.withColumn("first_load", F.lit(True)).unionByName(second.withColumn("first_load", F.lit(False)))
+
+
 @query(R + CLEANED + " SELECT DISTINCT MealIndex, MealID, meal_name FROM cleaned")
 def meal_lookup(ratings, meals):
     return keys.lookup(clean.clean(ratings, meals), "MealIndex", "MealID", "meal_name")
@@ -282,6 +298,19 @@ def split_assignment(ratings, meals):
     return splits.assign_parts(clean.clean(ratings, meals)).select("UserID", "MealID", "part")
 
 
+@query(
+    R
+    + CLEANED
+    + f""", o AS (SELECT UserID, MealID, row_number() OVER (ORDER BY {hash_sql('UserID', 'MealID')}, UserID, MealID) AS k,
+         count(*) OVER () AS n FROM cleaned)
+  SELECT UserID, MealID, CASE WHEN k <= floor(n * 0.8::DOUBLE + 0.5) THEN 'train'
+                              WHEN k <= floor(n * 0.9::DOUBLE + 0.5) THEN 'test' ELSE 'verify' END AS part FROM o""",
+    staged=True,
+)
+def exact_split(ratings, meals):
+    return splits.split_exactly(stage(clean.clean(ratings, meals), "cleaned")).select("UserID", "MealID", "part")
+
+
 @query(
     R
     + CLEANED
@@ -367,9 +396,52 @@ def _wide(ratings, meals) -> DataFrame:
     return matrix.full_wide_matrix(stage(matrix.rating_cells(clean.clean(ratings, meals)), "cells"))
 
 
-@query(R + CLEANED + WIDE, staged=True)
+CELLS_SQL = (
+    R
+    + CLEANED
+    + """, g AS (SELECT UserID, MealID FROM (SELECT DISTINCT UserID FROM cleaned), (SELECT DISTINCT MealID FROM cleaned))
+  SELECT g.UserID, string_agg(g.MealID || '=' || CAST(coalesce(Rating, 0.0) AS VARCHAR), ',' ORDER BY g.MealID) AS cells
+  FROM g LEFT JOIN cleaned ON g.UserID = cleaned.UserID AND g.MealID = cleaned.MealID GROUP BY g.UserID"""
+)
+
+
+@query(CELLS_SQL, staged=True)
 def rating_matrix_wide(ratings, meals):
-    return _wide(ratings, meals)
+    """The wide matrix, names and values of a row in one text, as a view cannot have columns named by data."""
+    return matrix.named_cells(_wide(ratings, meals))
+
+
+def _tiled(ratings, meals) -> tuple[DataFrame, DataFrame]:
+    cells = stage(matrix.rating_cells(clean.clean(ratings, meals)), "cells")
+    positions = matrix.meal_positions(cells)
+    users = keys.dense_index(cells, "UserID", "UserIndex")
+    return stage(matrix.tiles(cells, users, positions, TILE, TILE), "tiles"), positions
+
+
+# Users and meals of a tile in the registered queries: several tiles each way at every scale.
+TILE = 64
+
+
+@query(
+    R
+    + CLEANED
+    + f""", p AS (SELECT UserID, row_number() OVER (ORDER BY UserID) - 1 AS i FROM (SELECT DISTINCT UserID FROM cleaned)
+), q AS (SELECT MealID, row_number() OVER (ORDER BY MealID) - 1 AS j FROM (SELECT DISTINCT MealID FROM cleaned))
+  SELECT CAST(i // {TILE} AS INTEGER) AS tile_row, CAST(j // {TILE} AS INTEGER) AS tile_column, count(DISTINCT p.UserID) AS users,
+         count(*) AS ratings, sum(Rating) AS total
+  FROM cleaned JOIN p ON cleaned.UserID = p.UserID JOIN q ON cleaned.MealID = q.MealID GROUP BY ALL""",
+    staged=True,
+)
+def matrix_tiles(ratings, meals):
+    return matrix.tile_summary(_tiled(ratings, meals)[0])
+
+
+@query(CELLS_SQL, staged=True)
+def wide_by_tiles(ratings, meals):
+    """The same wide rows put together from tiles."""
+    tiled, positions = _tiled(ratings, meals)
+    names = [row["MealID"] for row in positions.orderBy("Index").collect()]
+    return matrix.named_cells(stage(matrix.wide_from_tiles(tiled, names, TILE), "wide"))
 
 
 @query(
@@ -453,6 +525,63 @@ def catalog_tables(ratings, meals):
         spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
 
 
+def _in_database(ratings, work) -> DataFrame:
+    """What ``work`` returns in a database of its own, staged."""
+    spark = ratings.sparkSession
+    database, before = f"meals_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    try:
+        catalog.use_database(spark, database, staged_path(spark, "database"))
+        return stage(work(spark, database), "result")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
+@query(
+    R
+    + """ SELECT 'MealRating' AS stage, count(*) AS "rows" FROM r UNION ALL SELECT 'MealList', count(*) FROM m
+  UNION ALL SELECT 'BrokenRatings', 0 UNION ALL SELECT 'BrokenMeals', 0""",
+    staged=True,
+)
+def load_counts(ratings, meals):
+    """Rows of the tables that the load job saves, counted by its writes."""
+    return _in_database(ratings, lambda spark, database: load.load(spark, ratings, meals, database))
+
+
+@query(
+    R
+    + CLEANED
+    + """, n AS (SELECT count(*) AS n FROM cleaned)
+  SELECT 'ratings' AS stage, count(*) AS "rows" FROM r UNION ALL SELECT 'cleaned', n FROM n
+  UNION ALL SELECT 'train', CAST(floor(n * 0.8::DOUBLE + 0.5) AS BIGINT) FROM n
+  UNION ALL SELECT 'test', CAST(floor(n * 0.9::DOUBLE + 0.5) - floor(n * 0.8::DOUBLE + 0.5) AS BIGINT) FROM n
+  UNION ALL SELECT 'verify', n - CAST(floor(n * 0.9::DOUBLE + 0.5) AS BIGINT) FROM n""",
+    staged=True,
+)
+def clean_counts(ratings, meals):
+    """Rows per stage of the clean job with exact splits and a bucketed table, counted by its writes."""
+
+    def work(spark, database):
+        load.load(spark, ratings, meals, database)
+        return clean.run(spark, database=database, exact=True, buckets=8)
+
+    return _in_database(ratings, work)
+
+
+@query(
+    R + CLEANED + " SELECT UserID, count(*) AS meals, sum(Rating) AS total FROM cleaned GROUP BY UserID",
+    staged=True,
+)
+def bucketed_ratings(ratings, meals):
+    """Sums per user over the cleaned table in buckets by user, which need no shuffle."""
+
+    def work(spark, database):
+        saved = catalog.save_bucketed(clean.clean(ratings, meals), schemas.CLEANED, "UserID", 8)
+        return saved.groupBy("UserID").agg(F.count("*").alias("meals"), F.sum("Rating").alias("total"))
+
+    return _in_database(ratings, work)
+
+
 # ---------------------------------------------------------------- ALS
 #
 # A fitted model is not for SQL to say. These queries check every row by a second route inside Spark and
@@ -580,6 +709,127 @@ def als_rmse(ratings, meals):
     return als.rmse(scored).select(F.lit(scored.count()).cast("bigint").alias("scored"), same.alias("as_evaluator"))
 
 
+# Implicit ALS by summed normal equations, and top lists by bounds.
+
+
+@query(
+    R
+    + FITTED
+    + " SELECT CAST(UserIndex AS INTEGER) AS id, count(*) AS ratings, TRUE AS solved FROM f WHERE train GROUP BY UserIndex",
+    staged=True,
+)
+def als_sums_factors(ratings, meals):
+    """Every user's factors put into the user's normal equations, summed up from the ratings one by one."""
+    cleaned = stage(clean.clean(ratings, meals), "cleaned")
+    model, _ = factors.split_and_fit(cleaned, SEED, solver="sums")
+    train = stage(splits.split(als.als_input(cleaned), als.SHARES, keys=("UserIndex", "MealIndex"))["train"], "train")
+    users, items = (stage(side, "factors") for side in (model.userFactors, model.itemFactors))
+    met = train.join(users.select(F.col("id").alias("UserIndex"), F.col("features").alias("p")), "UserIndex").join(
+        items.select(F.col("id").alias("MealIndex"), F.col("features").alias("q")), "MealIndex"
+    )
+    c, score = als.ALPHA * F.col("Rating"), _dot("p", "q")
+    # what a rating adds to the difference of both sides beyond what all meals add
+    one = [(c * score - (c + 1)) * F.col("q")[i] for i in range(als.RANK)]
+    every = items.agg(
+        *(F.sum(F.col("features")[i].cast("double") * F.col("features")[j]).alias(f"s{i}_{j}") for i in range(als.RANK) for j in range(als.RANK))
+    ).first()
+    summed = met.groupBy("UserIndex", "p").agg(
+        F.count("*").alias("ratings"),
+        *(F.sum(value).alias(f"d{i}") for i, value in enumerate(one)),
+        *(F.sum((c + 1) * F.col("q")[i]).alias(f"b{i}") for i in range(als.RANK)),
+    )
+    left = [
+        F.col(f"d{i}")
+        + sum(every[f"s{i}_{j}"] * F.col("p")[j] for j in range(als.RANK))
+        + als.REGULARISATION * F.col("ratings") * F.col("p")[i]
+        for i in range(als.RANK)
+    ]
+    length = F.sqrt(sum(F.col(f"b{i}") * F.col(f"b{i}") for i in range(als.RANK)))
+    rest = F.sqrt(sum(value * value for value in left))
+    return summed.select(F.col("UserIndex").alias("id"), "ratings", (rest <= 1e-3 * length).alias("solved"))
+
+
+@query(
+    R
+    + FITTED
+    + """ SELECT count(*) AS scored, TRUE AS within_one_percent FROM f WHERE NOT train
+  AND UserIndex IN (SELECT UserIndex FROM f WHERE train) AND MealIndex IN (SELECT MealIndex FROM f WHERE train)""",
+    staged=True,
+)
+def als_sums_rmse(ratings, meals):
+    """The error on the held-out part beside that of Spark's own ALS."""
+    cleaned, model, test = _fitted(ratings, meals)
+    summed, _ = factors.split_and_fit(cleaned, SEED, solver="sums")
+    scored = stage(als.predictions(summed, test), "scored")
+    known = als.rmse(als.predictions(model, test)).first()["rmse"]
+    return als.rmse(scored).select(
+        F.lit(scored.count()).cast("bigint").alias("scored"), _close(F.col("rmse"), F.lit(known), 0.01).alias("within_one_percent")
+    )
+
+
+@query(
+    R
+    + FITTED
+    + LISTED
+    + """ SELECT UserID, (SELECT n FROM n) AS meals, TRUE AS as_all_pairs FROM u
+  WHERE UserIndex IN (SELECT UserIndex FROM f WHERE train)""",
+    staged=True,
+)
+def als_bounded_lists(ratings, meals):
+    """The lists found by bounds beside those of all pairs, place by place (equal scores may stand in either order)."""
+    cleaned, model, _ = _fitted(ratings, meals)
+    ours = topn.recommend(model, als.MEALS).withColumnRenamed("rating", "ours")
+    every = als.recommend(model).select("UserIndex", "position", "rating")
+    met = ours.join(stage(every, "all-pairs"), ["UserIndex", "position"], "full")
+    same = F.every(F.coalesce(_close(F.col("rating").cast("double"), F.col("ours").cast("double")), F.lit(False)))
+    per_user = met.groupBy("UserIndex").agg(F.countDistinct("MealIndex").alias("meals"), same.alias("as_all_pairs"))
+    return per_user.join(keys.lookup(cleaned, "UserID", "UserIndex"), "UserIndex").select("UserID", "meals", "as_all_pairs")
+
+
+@query(
+    R
+    + FITTED
+    + """ SELECT (SELECT count(DISTINCT UserIndex) FROM f WHERE train) * (SELECT count(DISTINCT MealIndex) FROM f WHERE train) AS pairs,
+  TRUE AS fewer_scored""",
+    staged=True,
+)
+def als_bounded_share(ratings, meals):
+    """All pairs of users and meals, and whether fewer were scored."""
+    _, model, _ = _fitted(ratings, meals)
+    _, report = topn.search(model.userFactors, model.itemFactors, als.MEALS)
+    return report.select("pairs", (F.col("scored") < F.col("pairs")).alias("fewer_scored"))
+
+
+@query(
+    R
+    + FITTED
+    + """, k AS (SELECT DISTINCT MealIndex FROM f WHERE train
+), s AS (SELECT UserIndex, count(DISTINCT MealIndex) AS rated FROM f WHERE MealIndex IN (SELECT MealIndex FROM k) GROUP BY UserIndex
+)
+SELECT UserID, least(10, (SELECT count(*) FROM k) - coalesce(rated, 0)) AS meals, TRUE AS unrated, TRUE AS best
+FROM u LEFT JOIN s ON u.UserIndex = s.UserIndex WHERE u.UserIndex IN (SELECT UserIndex FROM f WHERE train)
+  AND (SELECT count(*) FROM k) > coalesce(rated, 0)""",
+    staged=True,
+)
+def als_refilled(ratings, meals):
+    """Lists of unrated meals, beside lists long enough to lose every rated one."""
+    cleaned, model, _ = _fitted(ratings, meals)
+    rated = stage(als.als_input(cleaned).select("UserIndex", "MealIndex").distinct(), "rated")
+    ours = stage(topn.recommend(model, als.MEALS, rated), "refilled")
+    most = rated.groupBy("UserIndex").count().agg(F.max("count")).first()[0]
+    left = als.without_seen(als.recommend(model, als.MEALS + most), rated)
+    place = F.row_number().over(Window.partitionBy("UserIndex").orderBy("position")) - 1
+    left = left.select("UserIndex", "rating", place.alias("position")).where(F.col("position") < als.MEALS)
+    met = ours.withColumnRenamed("rating", "ours").join(
+        rated.withColumn("known", F.lit(True)), ["UserIndex", "MealIndex"], "left"
+    ).join(stage(left, "left-over"), ["UserIndex", "position"], "full")
+    same = F.coalesce(_close(F.col("rating").cast("double"), F.col("ours").cast("double")), F.lit(False))
+    per_user = met.groupBy("UserIndex").agg(
+        F.countDistinct("MealIndex").alias("meals"), F.every(F.col("known").isNull()).alias("unrated"), F.every(same).alias("best")
+    )
+    return per_user.join(keys.lookup(cleaned, "UserID", "UserIndex"), "UserIndex").select("UserID", "meals", "unrated", "best")
+
+
 # ---------------------------------------------------------------- LDA
 
 
@@ -587,6 +837,48 @@ def _features(ratings, meals):
     return topics.features_of(stage(clean.clean(ratings, meals), "cleaned"))
 
 
+@query(
+    R + CLEANED + f""" SELECT CAST(topic AS INTEGER) AS topic, CAST(least({lda.TERMS}, (SELECT count(DISTINCT MealID) FROM cleaned)) AS BIGINT) AS terms,
+  TRUE AS weights, TRUE AS falling FROM range({K}) AS k(topic)""",
+    staged=True,
+)
+def lda_rows_topics(ratings, meals):
+    """Terms of topics whose matrix is a table: weights in (0, 1), falling, and equal to their share of the topic."""
+    features, positions = _features(ratings, meals)
+    model = lda_rows.fit(features, positions, K, ROWS_ITERATIONS, SEED)
+    terms = stage(lda_rows.topic_terms(model, positions), "terms")
+    each = model.topics.select("Index", F.posexplode("weights").alias("topic", "raw")).join(positions, "Index")
+    total = each.groupBy("topic").agg(F.sum("raw").alias("total"))
+    met = terms.join(each, ["topic", "MealID"]).join(stage(total, "totals"), "topic")
+    same = _close(F.col("weight"), F.col("raw") / F.col("total"), 1e-9)
+    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("position"))
+    met = met.select("topic", (same & (F.col("weight") > 0) & (F.col("weight") < 1)).alias("right"), (F.coalesce(before, F.lit(1.0)) >= F.col("weight")).alias("fell"))
+    return met.groupBy("topic").agg(F.count("*").alias("terms"), F.every("right").alias("weights"), F.every("fell").alias("falling"))
+
+
+# Iterations of the registered queries of the row-wise fit, and of the sweep that a run of its own checks.
+ROWS_ITERATIONS = 20
+
+
+@query(
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"({value}, TRUE, TRUE)" for value in lda.SWEEP)
+    + ") AS v(max_iter, as_per_word, near_known)",
+    staged=True,
+)
+def lda_rows_sweep(ratings, meals):
+    """The whole sweep from one run: perplexity per rating point, likelihoods within 1 % of Spark's own fits."""
+    cleaned = stage(clean.clean(ratings, meals), "cleaned")
+    features, positions = topics.features_of(cleaned)
+    points = cleaned.agg(F.sum("Rating")).first()[0]
+    known = lda.fit_metrics(features, K, seed=SEED).select("max_iter", F.col("log_likelihood").alias("known"))
+    return lda_rows.fit_metrics(features, positions, K, seed=SEED).join(known, "max_iter").select(
+        "max_iter",
+        _close(F.col("log_perplexity"), -F.col("log_likelihood") / points, 1e-9).alias("as_per_word"),
+        _close(F.col("known"), F.col("log_likelihood"), 0.01).alias("near_known"),
+    )
+
+
 TERMS_SQL = f"CAST(least({lda.TERMS}, (SELECT count(DISTINCT MealID) FROM cleaned)) AS BIGINT)"
 
 

@@ -35,6 +35,10 @@ USER_MEAL_IDS = "UserIDANDMealID"
 LDA_LIST = "LDARecommendList"
 ALS_LIST = "ALSRecommendList"
 
+# Ids of users and meals, for later loads.
+USER_IDS = "UserIds"
+MEAL_IDS = "MealIds"
+
 # Lines of the inputs that did not parse.
 BAD_RATINGS = "BrokenRatings"
 BAD_MEALS = "BrokenMeals"

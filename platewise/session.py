@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Settings the results or the skew handling depend on. All can be changed on a running session.
@@ -119,6 +120,15 @@ def stage_by(df: DataFrame, column: str, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counting(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with its rows, and further sums by name, observed when it is written.
+
+    ``Observation.get`` has them after the write, which saves a scan of what was written.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("rows"), *(value.alias(name) for name, value in counts.items())), seen
+
+
 def in_fixed_order(df: DataFrame, partitions: int, key: str, *more: str) -> DataFrame:
     """Rows dealt by ``key`` to a number of partitions that is the caller's choice, and sorted there.
 

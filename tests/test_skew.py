@@ -61,7 +61,7 @@ def test_encoding_splits_the_hot_meal(spark, shuffled_joins):
 
 def test_vectors_split_the_hot_meal(spark, shuffled_joins):
     cells = hot_ratings(spark).select("UserID", "MealID", "Rating")
-    vectors = matrix.user_vectors(cells, matrix.meal_positions(cells))
+    vectors = matrix.vector_rows(cells, matrix.meal_positions(cells))
     assert "skew=true" in final_plan(vectors)
     assert vectors.count() == 60_000
 
