@@ -49,3 +49,20 @@ def test_ids_beyond_an_int_are_refused(spark):
     assert sorted((r["id"] or 0) for r in small.collect()) == [0, 1, 2**31 - 1]
     with pytest.raises(Exception, match="does not fit a 32-bit id"):
         spark.createDataFrame([(2**31,)], "id bigint").select(keys.as_int_id("id")).collect()
+
+
+def test_extended_ids_keep_the_old_ones_and_stay_dense(spark):
+    def table(names):
+        return spark.createDataFrame([(name,) for name in names], "key string")
+
+    known = keys.dense_index(table(["d", "b", "f", None]), "key", "id")
+    for names in (["a", "b", "c", None, "a"], ["z", "a", "f"], ["b", "z"], []):
+        before = {row["key"]: row["id"] for row in known.collect()}
+        known = known.unionByName(keys.extend_index(known, table(names), "key", "id"))
+        after = {row["key"]: row["id"] for row in known.collect()}
+        assert before.items() <= after.items() and known.count() == len(after)
+        assert sorted(after.values()) == list(range(len(after)))
+        assert set(after) == set(before) | {name for name in names if name}
+    assert after == {"b": 0, "d": 1, "f": 2, "a": 3, "c": 4, "z": 5}
+    fresh = keys.extend_index(known.limit(0), table(["y", "x"]), "key", "id")
+    assert {row["key"]: row["id"] for row in fresh.collect()} == {"x": 0, "y": 1}
