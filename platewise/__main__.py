@@ -55,6 +55,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--min-avg-rating", type=float)
     job.add_argument("--from-matrix", action="store_true", help="take the cells from the saved matrix")
     job.add_argument("--partitions", type=int, default=lda.PARTITIONS)
+    job.add_argument("--solver", choices=["driver", "rows"], default="driver", help="rows keeps the topics in a table")
+    job.add_argument("--most-cells", type=int, default=lda.MATRIX_CELLS, help="topics x meals that the driver may hold")
     job.add_argument("--seed", type=int, default=1)
 
     jobs.add_parser("names", help="saved id lists into name lists")
@@ -65,6 +67,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--parallelism", type=int, default=4, help="models fitted at a time")
     job.add_argument("--from-matrix", action="store_true", help="take the cells from the saved matrix")
     job.add_argument("--partitions", type=int, default=lda.PARTITIONS)
+    job.add_argument("--solver", choices=["driver", "rows"], default="driver", help="rows keeps the topics in a table")
+    job.add_argument("--most-cells", type=int, default=lda.MATRIX_CELLS, help="topics x meals that the driver may hold")
     job.add_argument("--seed", type=int, default=1)
 
     job = jobs.add_parser("factors", help="lists from ALS")
@@ -105,11 +109,12 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "topics":
         topics.run(
             spark, args.k, args.max_iter, args.mode, args.min_avg_rating, args.seed, args.database, args.from_matrix,
-            args.partitions,
+            args.partitions, args.solver, args.most_cells,
         ).show()
     elif args.job == "tune":
         topics.tune(
-            spark, args.k, args.iterations, args.seed, args.database, args.from_matrix, args.parallelism, args.partitions
+            spark, args.k, args.iterations, args.seed, args.database, args.from_matrix, args.parallelism, args.partitions,
+            args.solver, args.most_cells,
         ).show()
     elif args.job == "factors":
         blocks = {"user_blocks": args.user_blocks, "meal_blocks": args.meal_blocks} if args.solver == "blocks" else {}

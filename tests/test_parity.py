@@ -14,8 +14,8 @@ FOLDER = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 
-# Runs seven fits; its parts are tested with a shorter sweep.
-SLOW = {"lda_fit_metrics"}
+# Run seven fits or a hundred iterations; their parts are tested with a shorter sweep.
+SLOW = {"lda_fit_metrics", "lda_rows_sweep"}
 
 
 @pytest.fixture(scope="module")

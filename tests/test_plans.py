@@ -9,7 +9,8 @@ from pathlib import Path
 import pytest
 
 from platewise import __main__ as cli
-from platewise import schemas
+from platewise import schemas, session
+from platewise.operators import matrix, splits
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -76,16 +77,47 @@ def test_all_jobs(spark, inputs, capsys):
 
         run("names")
         assert spark.read.table(schemas.LDA_LIST).count() == 4
+        run("topics", "--k", "3", "--max-iter", "2", "--solver", "rows")
+        assert spark.read.table(schemas.USER_MEAL_IDS).count() == users
 
         run("factors")
         recommended = spark.read.table(schemas.ALS_LIST)
         assert recommended.columns == ["UserID", "meal_name_list"] and recommended.count() == users
         assert recommended.filter("size(meal_name_list) <> 10").count() == 0
 
+        run("factors", "--solver", "sums", "--max-iter", "2", "--exclude-seen")
+        rated = cleaned.groupBy("UserID").count().collect()
+        names = {r["UserID"]: len(r["meal_name_list"]) for r in spark.read.table(schemas.ALS_LIST).collect()}
+        assert names == {r["UserID"]: min(10, 40 - r["count"]) for r in rated if r["count"] < 40}
+
+        # a second load: earlier ids stay, exact parts, and a table whose users need no shuffle
+        old = {r["UserID"]: r["UserIndex"] for r in cleaned.select("UserID", "UserIndex").distinct().collect()}
+        more = inputs / "more.json"
+        extra = {"UserID": "a-new-user", "MealID": "m1", "Rating": 3.0, "Review": "text", "ReviewTime": 1493596800}
+        more.write_text((inputs / "ratings.json").read_text() + json.dumps(extra) + "\n")
+        run("load", "--ratings", str(more), "--meals-json", str(inputs / "meals.json"))
+        run("clean", "--keep-ids", "--exact", "--buckets", "3", "--splits", str(inputs / "exact"))
+        cleaned = spark.read.table(schemas.CLEANED)
+        assert {r["UserID"]: r["UserIndex"] for r in cleaned.select("UserID", "UserIndex").distinct().collect()} == (
+            old | {"a-new-user": len(old)}
+        )
+        parts = [spark.read.json(str(inputs / "exact" / f"{n}data.json")).count() for n in ("train", "test", "verify")]
+        assert parts == list(splits.exact_sizes(cleaned.count(), splits.SHARES).values())
+        per_user = cleaned.groupBy("UserID").count()
+        assert per_user.count() == len(old) + 1
+        plan = per_user._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(UserID" not in plan and "Bucketed: true" in plan
+        positions = session.stage(matrix.meal_positions(cleaned), "positions")
+        plan = matrix.vector_rows(cleaned.select("UserID", "MealID", "Rating"), positions)._jdf.queryExecution()
+        assert "hashpartitioning(UserID" not in plan.executedPlan().toString()
+
         capsys.readouterr()
         from platewise.plans import topics
 
         assert topics.tune(spark, 3, (1, 2), database="jobs_test").count() == 2
+        assert topics.tune(spark, 3, (1, 2), database="jobs_test", solver="rows").count() == 2
+        with pytest.raises(ValueError, match="most_cells"):
+            topics.tune(spark, 3, (1, 2), database="jobs_test", most_cells=10)
     finally:
         spark.catalog.setCurrentDatabase(before)
 
