@@ -36,15 +36,30 @@ def _row_key():
     )
 
 
+def _has_words():
+    return F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, that with the smallest id; of equal rows one."""
+    """One document of each class stays, that with the smallest id; of equal rows one. Texts without words all stay."""
     configure(spark)
-    rows = docs.select(*COLUMNS, _row_key().alias("row"))
+    rows = docs.where(_has_words()).select(*COLUMNS, _row_key().alias("row"))
     found = bagminhash.classes(rows, "row").where("class_size > 1 AND row <> class_id")
     gone = found.select("row.id", "row.print").distinct()
     rows = rows.select(*COLUMNS, "row.id", "row.print").join(gone, ["id", "print"], "left_anti")
     first = F.row_number().over(Window.partitionBy("id", "print").orderBy("lang", "source"))
-    return rows.withColumn("place", first).where("place = 1").select(*COLUMNS)
+    kept = rows.withColumn("place", first).where("place = 1").select(*COLUMNS)
+    return kept.unionByName(docs.where(~_has_words()).select(*COLUMNS))
+
+
+# Characters of more than one byte in UTF-8, every byte as a character of its own; and a byte of none of them.
+_WHOLE_OR_STRAY = "([\u00C2-\u00DF][\u0080-\u00BF]|[\u00E0-\u00EF][\u0080-\u00BF]{2}|[\u00F0-\u00F4][\u0080-\u00BF]{3})|[\u0080-\u00FF]"
+
+
+def _whole_characters(kept):
+    """Bytes as text, without those that are left of a character that a span cut."""
+    single = F.regexp_replace(F.decode(kept, "ISO-8859-1"), _WHOLE_OR_STRAY, "$1")
+    return F.encode(single, "ISO-8859-1").cast("string")
 
 
 def drop_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +68,7 @@ def drop_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     carry = ["whole", "lang", "source", "n_chars"]
     cut = suffix_dedup.dedup(docs.withColumn("whole", F.col("text")), carry=carry, words=PASSAGE_WORDS)
     some = F.col("n_removed") > 0
-    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
-    text = F.when(some, left).otherwise(F.col("whole"))
+    text = F.when(some, _whole_characters(F.col("kept"))).otherwise(F.col("whole"))
     cut = cut.select("doc_id", text.alias("text"), "lang", "source", "n_chars", some.alias("some"))
     size = F.when(F.col("some"), F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", size).select(*COLUMNS)
