@@ -81,6 +81,26 @@ def test_passages_of_over_50_words_are_cut(spark, size):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def test_rows_without_words_and_without_ids_stay(spark):
+    rows = [(None, None, "en", "a", 0), (None, "", "en", "b", 0), (None, " \n", "en", "c", 2), (None, None, "en", "d", None)]
+    rows += [(1, "one two three", "en", "a", 13), (1, "one two three", "fr", "b", 13), (2, None, "en", "a", 0)]
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, TEXT), "")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, rows[:5] + rows[6:]))
+    assert corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame([], TEXT), "").count() == 0
+
+
+def test_characters_of_the_input_survive_a_cut(spark):
+    """A replacement character of the input stays; of a character that a cut halves nothing does."""
+    passage = "\u00e9" * 260
+    # \u00e9 and \u00e8 begin with the same byte, so the repeated bytes end inside a character
+    rows = [(1, f"caf\ufffd one {passage}\u00e8 two\U0001F600"), (2, f"x {passage}\u00e9 \ufffd y\u20ac")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], TEXT)
+    got = {r["doc_id"]: r for r in corpus_pipeline.drop_repeated_bytes(spark, docs, "").collect()}
+    assert got[1]["text"].startswith("caf\ufffd one") and got[1]["text"].endswith("two\U0001F600")
+    assert got[2]["text"].startswith("x ") and got[2]["text"].endswith("\ufffd y\u20ac")
+    assert all("\u00e9" * 50 not in r["text"] and r["n_chars"] == len(r["text"]) for r in got.values())
+
+
 def test_run_is_registered():
     import __spark_entry__ as contract
 
