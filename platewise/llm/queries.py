@@ -88,7 +88,27 @@ def op2_toxicity(spark, folder):
 # ---------------------------------------------------------------- 3: near duplicates
 
 
-@query()
+@query(
+    """WITH RECURSIVE d AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), k AS (SELECT array_to_string(w, ' ') AS t, any_value(w) AS w, row_number() OVER () AS node FROM d WHERE len(w) > 0 GROUP BY t
+), s AS (
+  SELECT node, md5(array_to_string(w[i:i + least(5, len(w)) - 1], ' ')) AS g, count(*) AS c
+  FROM k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS u(i) GROUP BY node, g
+), z AS (SELECT node, sum(c) AS n FROM s GROUP BY node
+), p AS (
+  SELECT a.node AS a, b.node AS b, sum(least(a.c, b.c)) AS common FROM s AS a JOIN s AS b ON a.g = b.g AND a.node < b.node GROUP BY a.node, b.node
+), l AS (
+  SELECT a, b FROM p JOIN z AS x ON a = x.node JOIN z AS y ON b = y.node WHERE 10 * common >= 8 * (x.n + y.n - common)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (SELECT node AS a, node AS b FROM k UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+), c AS (SELECT a AS node, min(b) AS part FROM r GROUP BY a
+), m AS (
+  SELECT d.doc_id, coalesce('t' || CAST(part AS VARCHAR), 'd' || CAST(d.doc_id AS VARCHAR)) AS part
+  FROM d LEFT JOIN k ON array_to_string(d.w, ' ') = k.t LEFT JOIN c ON k.node = c.node
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY part) AS class_id, count(*) OVER (PARTITION BY part) AS class_size FROM m"""
+)
 def op3_near_duplicates(spark, folder):
     return bagminhash.classes(table(spark, folder, "documents", "doc_id", "text"))
 
@@ -96,7 +116,21 @@ def op3_near_duplicates(spark, folder):
 # ---------------------------------------------------------------- 4: repeated byte strings
 
 
-@query()
+@query(
+    """WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x FROM documents
+), u AS (
+  SELECT r, unnest([struct_pack(i := i, h := md5_number(substr(x, 2 * i + 1, 800))) FOR i IN range(0, CAST(length(x) // 2 - 399 AS BIGINT))]) AS s FROM d
+), t AS (SELECT r, s.i AS i FROM u QUALIFY count(*) OVER (PARTITION BY s.h) > 1
+), g AS (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS n, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM t
+), o AS (
+  SELECT r, sum(least(400, coalesce(n - i, 400))) AS removed, count(*) FILTER (p IS NULL OR i - p > 400) AS spans FROM g GROUP BY r
+), s AS (SELECT r, CASE WHEN p IS NULL THEN 0 ELSE p + 400 END AS a, i AS b FROM g WHERE p IS NULL OR i - p > 400
+  UNION ALL SELECT g.r, i + 400, length(x) // 2 FROM g JOIN d ON g.r = d.r WHERE n IS NULL
+), k AS (SELECT s.r, string_agg(substr(x, 2 * CAST(a AS BIGINT) + 1, 2 * CAST(b - a AS BIGINT)), '' ORDER BY a) AS kept FROM s JOIN d ON s.r = d.r GROUP BY s.r
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN o ON d.r = o.r LEFT JOIN k ON d.r = k.r"""
+)
 def op4_prefix_doubling(spark, folder):
     cut = suffix_dedup.dedup(table(spark, folder, "documents", "doc_id", "text"))
     spans = F.size("spans").cast("bigint").alias("n_spans")
