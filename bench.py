@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from platewise import session  # noqa: E402
-from platewise.operators import als, keys, lda, matrix, repeats, reports, splits  # noqa: E402
+from platewise.operators import als, keys, lda, lda_rows, matrix, repeats, reports, splits, topn  # noqa: E402
 from platewise.plans import clean, factors, topics  # noqa: E402
 from platewise.sources import order_tables  # noqa: E402
 
@@ -74,17 +74,20 @@ def main() -> None:
     timed("clean_and_encode", lambda: keep("cleaned", clean.clean(ratings, meals)))
     cleaned = stored["cleaned"]
     timed("split_assignment", lambda: splits.assign_parts(cleaned))
+    timed("exact_split", lambda: splits.split_exactly(cleaned))
     timed("avg_rating_per_meal", lambda: matrix.average_ratings(cleaned))
 
     model, test = timed("als_fit", lambda: factors.split_and_fit(cleaned))
     timed("als_rmse", lambda: als.rmse(als.predictions(model, test)))
     timed("als_recommendations", lambda: factors.named_lists(cleaned, als.recommend(model)))
+    timed("als_fit_by_sums", lambda: factors.split_and_fit(cleaned, solver="sums"))
+    timed("als_refilled_lists", lambda: topn.recommend(model, als.MEALS, als.als_input(cleaned)))
 
     features, positions = timed("sparse_matrix", lambda: topics.features_of(cleaned))
     topic_model = timed("lda_fit_k10_100_iterations", lambda: lda.fit(features, 10))
     terms = lda.topic_terms(topic_model, positions)
     timed("lda_recommendations", lambda: lda.recommend_by_mix(topic_model, features, terms))
-    timed("lda_sweep_of_seven", lambda: lda.fit_metrics(features, 10))
+    timed("lda_sweep_of_seven_by_rows", lambda: lda_rows.fit_metrics(features, positions, 10))
 
     scale = Path(FOLDER).name.removeprefix("sf")
     total = round(sum(times.values()), 3)
