@@ -242,6 +242,8 @@ def _best(k: int):
                 stay = ~(bound < bar[row])
                 row, column = row[stay], column[stay]
             score = _scores(left[part], right, row, column, exact)
+            stay = score >= bar[row]
+            row, column, score = row[stay], column[stay], score[stay]
             order = np.lexsort((ids[column], ~score, row))
             row, column, score = row[order], column[order], score[order]
             rank = np.arange(len(row)) - np.searchsorted(row, row)
