@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.common import with_value
-from platewise.session import stage
+from platewise.session import stage, staged_path
 
 SAMPLE_ROWS = 12_000
 LEAST_DOCUMENTS = 5
@@ -86,7 +86,11 @@ def _fit_one(vectors: DataFrame, earlier: list[str], name: str) -> LogisticRegre
         return float(share or 0.0)
     seen = VectorAssembler(inputCols=["present", *(f"p_{x}" for x in earlier)], outputCol="features").transform(vectors)
     learner = LogisticRegression(labelCol=name, regParam=1e-4, maxIter=30)
-    return learner.fit(seen)
+    # a fitted model carries its training summary, and with it the session, to every task, which fails once the
+    # session has observed a frame; saved and loaded it is the coefficients alone
+    path = staged_path(vectors.sparkSession, f"model-{name}")
+    learner.fit(seen).save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def sample(labels: DataFrame, names: list[str], key: str = "doc_id", rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from platewise.llm import chunk_table, common, cross_polytope, licenses, mixing, quality, toxicity, warc
@@ -43,6 +44,16 @@ def test_chain_holds_on_unseen_rows(spark, docs):
     assert got[9000]["p_toxic"] == got[9001]["p_toxic"] < 0.5
 
 
+def test_chain_scores_in_a_session_that_has_observed(spark, docs):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = [(i, f"word{i % 5} " + ("nasty vile" if i % 3 == 0 else "kind good")) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(60)], "doc_id bigint, junk int, toxic int")
+    scored = toxicity.fit(docs(rows), labels, ["junk", "toxic"]).score(docs(rows)).collect()
+    assert all((r["p_toxic"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in scored)
+
+
 def test_one_class_or_no_rows_give_a_constant(spark, docs):
     frame = docs([(1, "a b"), (2, None)])
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int")
