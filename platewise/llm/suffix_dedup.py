@@ -2,7 +2,7 @@
 
 Two equal strings of ``window`` bytes hold the same anchors at the same offsets (see anchors.py), so
 suffixes need to be ranked at anchors only. The phrase of an anchor reaches to the gram of the next
-anchor. Round 0 sorts the phrases and gives equal ones the same rank; round r sorts pairs of ranks,
+anchor. In round 0 the hash of a phrase is its rank; round r sorts pairs of ranks,
 that of an anchor and that of the anchor 2^(r-1) further on, which ranks strings of 2^r phrases. A
 rank that occurs once is unique, and its position is dropped for good; a position whose string has
 come as far as every window through it surely reaches, the threshold, keeps its rank. What is left
@@ -118,8 +118,9 @@ def ranked(keys: DataFrame, columns: list[str], name: str, label: str) -> DataFr
 
 def double(positions: DataFrame) -> DataFrame:
     """Prefix doubling over (id, print, number, rounds, phrase, ...): the rows left, with their last rank."""
-    repeated = positions.groupBy("phrase").count().where("count > 1").select("phrase")
-    alive = positions.join(ranked(repeated, ["phrase"], "rank", "ranks-0"), "phrase").drop("phrase")
+    # the hash of a phrase is its first rank, so the texts are read once and the phrases shuffled once
+    times = F.count("*").over(Window.partitionBy("phrase"))
+    alive = positions.withColumn("times", times).where("times > 1").drop("times").withColumnRenamed("phrase", "rank")
     alive, done, number = stage(alive, "round-0"), [], 0
     while True:
         number += 1

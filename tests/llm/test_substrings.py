@@ -95,6 +95,22 @@ def test_bytes(spark, docs, seed):
     assert sorted(got, key=repr) == sorted(bytes_brute(rows, suffix_dedup.WINDOW), key=repr)
 
 
+def test_positions_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    schema = "id bigint, print bigint, number bigint, rounds bigint, phrase bigint"
+    table = [(i, i, n, 1, n if i < 3 else 100 * i + n) for i in range(5) for n in range(4)]
+    left = suffix_dedup.double(spark.createDataFrame(table, schema).mapInPandas(rows, schema))
+    assert made.value == len(table)
+    got = left.groupBy("rank").agg(F.collect_set("id").alias("ids"), F.countDistinct("number").alias("numbers")).collect()
+    assert [(sorted(r["ids"]), r["numbers"]) for r in got] == [([0, 1, 2], 1)] * 3
+
+
 def test_short_windows_are_refused(spark, docs):
     with pytest.raises(ValueError, match="three times"):
         suffix_dedup.dedup(docs([(1, "x")]), window=300)
