@@ -36,6 +36,7 @@ ARCHIVE_BYTES = 16 << 20  # payload of one archive, before compression
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 2 << 20  # of an archive's records, what the dictionary is built from
 LEVEL = 3
+FEED_BYTES = 4 << 10  # of an archive, what a reader looks at together
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -143,13 +144,19 @@ def frames(records: list[bytes]) -> Iterator[bytes]:
 
 def records_of(archive: bytes) -> Iterator[bytes]:
     """The records of an archive, frame by frame."""
-    place, decompressor = 0, zstandard.ZstdDecompressor()
+    place, whole, decompressor = 0, memoryview(archive), zstandard.ZstdDecompressor()
     while place < len(archive):
         magic = archive[place : place + 4]
         if magic == FRAME_MAGIC:
-            worker = decompressor.decompressobj()
-            yield worker.decompress(memoryview(archive)[place:])
-            place = len(archive) - len(worker.unused_data)
+            # fed in pieces: what follows a frame in the last one is copied, not the rest of the archive
+            worker, record_ = decompressor.decompressobj(), []
+            while not worker.eof and place < len(archive):
+                record_.append(worker.decompress(whole[place : place + FEED_BYTES]))
+                place += FEED_BYTES
+            if not worker.eof:
+                raise ValueError("a frame of an archive ends too early")
+            place = min(place, len(archive)) - len(worker.unused_data)
+            yield b"".join(record_)
         else:
             size = int.from_bytes(archive[place + 4 : place + 8], "little")
             if magic == DICTIONARY_MAGIC and size:

@@ -281,3 +281,34 @@ def test_licenses_in_runs_of_words(spark, docs):
             (3, f"{prose} released under a licence of MIT {prose}")]
     got = {r["doc_id"]: (r["license"], r["score"]) for r in licenses.scan(docs(rows)).collect()}
     assert got == {1: ("MIT", 1.0), 2: ("GPL-3.0", 1.0), 3: (None, None)}
+
+
+def test_a_reader_copies_little_of_an_archive(monkeypatch):
+    """A frame's decompressor is not handed all the rest of its archive."""
+    records = [warc.record(i, None, hashlib.sha256(b"%d" % i).hexdigest().encode() * 200, None) for i in range(300)]
+    records.append(warc.record(300, None, "".join(map(str, range(60_000))).encode(), None))
+    archive, seen = b"".join(warc.frames(records)), []
+    made = warc.zstandard.ZstdDecompressor
+
+    class Watched:
+        def __init__(self, *args, **kwargs):
+            self.inner = made(*args, **kwargs)
+
+        def decompressobj(self):
+            worker = self.inner.decompressobj()
+
+            class Worker:
+                eof = property(lambda _: worker.eof)
+                unused_data = property(lambda _: worker.unused_data)
+
+                def decompress(self, data):
+                    seen.append(len(data))
+                    return worker.decompress(data)
+
+            return Worker()
+
+    monkeypatch.setattr(warc.zstandard, "ZstdDecompressor", Watched)
+    assert list(warc.records_of(archive)) == records
+    assert max(seen) <= warc.FEED_BYTES < len(archive)
+    with pytest.raises(ValueError, match="too early"):
+        list(warc.records_of(archive[:-9]))
