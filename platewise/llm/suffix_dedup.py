@@ -2,7 +2,7 @@
 
 Two equal strings of ``window`` bytes hold the same anchors at the same offsets (see anchors.py), so
 suffixes need to be ranked at anchors only. The phrase of an anchor reaches to the gram of the next
-anchor. In round 0 the hash of a phrase is its rank; round r sorts pairs of ranks,
+anchor. In round 0 the hash of a phrase is its rank; round r ranks by the hash of a pair of ranks,
 that of an anchor and that of the anchor 2^(r-1) further on, which ranks strings of 2^r phrases. A
 rank that occurs once is unique, and its position is dropped for good; a position whose string has
 come as far as every window through it surely reaches, the threshold, keeps its rank. What is left
@@ -37,7 +37,6 @@ from platewise.session import stage
 WINDOW = 400
 GRAM = 16
 WIDTH = 128  # grams in which an anchor is the smallest; every window holds its first WIDTH grams
-POSITION_BITS = 33
 WORD_GRAM = 5  # the gram of windows that are counted in words
 
 
@@ -102,20 +101,6 @@ def _index(window: int, gram: int, width: int, by_words: bool, words: int | None
     return run
 
 
-def ranked(keys: DataFrame, columns: list[str], name: str, label: str) -> DataFrame:
-    """(columns, name): rows numbered by sorted order, the same whatever the partitions."""
-    placed = keys.repartitionByRange(*columns).sortWithinPartitions(*columns)
-    placed = stage(placed.withColumn("at", F.monotonically_increasing_id()), label)
-    part, place = F.shiftright("at", POSITION_BITS), F.col("at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition
-    offsets = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    offsets = offsets.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return placed.withColumn("part", part).join(F.broadcast(offsets), "part").select(
-        *columns, (F.col("offset") + place).alias(name)
-    )
-
-
 def double(positions: DataFrame) -> DataFrame:
     """Prefix doubling over (id, print, number, rounds, phrase, ...): the rows left, with their last rank."""
     # the hash of a phrase is its first rank, so the texts are read once and the phrases shuffled once
@@ -132,11 +117,10 @@ def double(positions: DataFrame) -> DataFrame:
         other = alive.select("id", "print", (F.col("number") - (1 << (number - 1))).alias("number"), F.col("rank").alias("rank2"))
         # rows of equal ids and texts share all three; any of them stands for the text
         place = ["id", "print", "number"]
-        pairs = going.join(other.dropDuplicates(place), place)
-        again = pairs.groupBy("rank", "rank2").count().where("count > 1").select("rank", "rank2")
-        named = ranked(again, ["rank", "rank2"], "named", f"ranks-{number}")
-        kept = pairs.join(named, ["rank", "rank2"]).drop("rank", "rank2").withColumnRenamed("named", "rank")
-        alive = stage(kept, f"round-{number}")
+        # a pair's hash is its rank: equal strings have equal ranks, and what shares one is compared later on
+        pairs = going.join(other.dropDuplicates(place), place).withColumn("rank", F.xxhash64("rank", "rank2")).drop("rank2")
+        again = pairs.groupBy("rank").count().where("count > 1").select("rank")
+        alive = stage(pairs.join(again, "rank", "left_semi"), f"round-{number}")
 
 
 def _cores(window: int, gram: int, width: int, by_words: bool):

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from platewise import session
 from platewise.llm import rlz, suffix_dedup
 
 
@@ -111,6 +112,24 @@ def test_positions_are_made_once(spark):
     assert [(sorted(r["ids"]), r["numbers"]) for r in got] == [([0, 1, 2], 1)] * 3
 
 
+def test_a_round_ranks_without_sorting(spark, monkeypatch):
+    """Pairs of ranks get their new rank in their row: no range partitioning, numbering or broadcast for it."""
+    staged = []
+
+    def stage(df, label):
+        staged.append((label, df._jdf.queryExecution().toString()))
+        return session.stage(df, label)
+
+    monkeypatch.setattr(suffix_dedup, "stage", stage)
+    schema = "id bigint, print bigint, number bigint, rounds bigint, phrase bigint"
+    table = [(i, i, n, 2, n if i < 3 else 100 * i + n) for i in range(5) for n in range(9)]
+    left = suffix_dedup.double(spark.createDataFrame(table, schema))
+    assert [label for label, _ in staged] == ["round-0", "round-1", "round-2"]
+    assert not any("rangepartitioning" in plan for _, plan in staged)
+    got = left.groupBy("rank").agg(F.collect_set("id").alias("ids"), F.countDistinct("number").alias("numbers")).collect()
+    assert [(sorted(r["ids"]), r["numbers"]) for r in got] == [([0, 1, 2], 1)] * 6
+
+
 def test_short_windows_are_refused(spark, docs):
     with pytest.raises(ValueError, match="three times"):
         suffix_dedup.dedup(docs([(1, "x")]), window=300)
