@@ -2,7 +2,7 @@
 
 Where no piece of the vocabulary has a whitespace marker after another character, a piece cannot cross
 from one marked word (markers, then the characters up to the next marker) into the next, and the
-merges of one marked word never depend on another. So a task takes some megabytes of texts at a time,
+merges of one marked word never depend on another. So a task takes half a megabyte of texts at a time,
 makes a table of their distinct marked words, has the library segment every entry once, and joins the
 ids back by position. The table is bounded by the texts it is made from; a longer text has one of its
 own. A model without that property, or whose normaliser changes texts, encodes whole texts.
@@ -31,7 +31,7 @@ MARKER = "▁"
 CHUNK = re.compile(" +[^ ]*")
 
 # Text (or ids) that a task works on at a time.
-PART_CHARS = 2 << 20
+PART_CHARS = 1 << 19
 
 
 def load(model: bytes) -> sentencepiece.SentencePieceProcessor:

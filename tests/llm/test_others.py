@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -206,6 +207,19 @@ def test_encoding_is_the_library_s(spark, docs, monkeypatch, part):
     assert chunk_table.encode(docs([]), model).count() == 0
 
 
+def test_a_worker_holds_few_texts(spark, docs):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    texts = docs([(n, "word " * 20_000) for n in range(200)]).select("text").coalesce(1)
+    found = [row["size"] for row in texts.mapInArrow(sizes, "size bigint").collect()]
+    assert sum(found) >= 20_000_000 and max(found) < 5_000_000
+    parts = list(chunk_table._parts([100_000] * 100))
+    assert [n for start, end in parts for n in range(start, end)] == list(range(100))
+    assert max(end - start for start, end in parts) * 100_000 < 1_000_000
+
+
 # ---------------------------------------------------------------- mixing
 
 
