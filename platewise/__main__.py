@@ -77,8 +77,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--max-iter", type=int, default=als.ITERATIONS)
     job.add_argument("--alpha", type=float, default=als.ALPHA)
     job.add_argument("--regularisation", type=float, default=als.REGULARISATION)
-    job.add_argument("--user-blocks", type=int, default=als.USER_BLOCKS)
-    job.add_argument("--meal-blocks", type=int, default=als.MEAL_BLOCKS)
+    job.add_argument("--user-blocks", type=int)
+    job.add_argument("--meal-blocks", type=int)
     job.add_argument("--solver", choices=["blocks", "sums"], default="blocks", help="sums splits hot meals and users")
     job.add_argument("--exclude-seen", action="store_true", help="list only meals that the user has not rated")
     job.add_argument("--seed", type=int, default=1)
